@@ -34,3 +34,17 @@ for _m in ("arpu", "monthly_revenue", "revenue_growth", "revenue_by_gateway", "f
     _reg(_m, _metrics(_m))
 _reg("sql_failure_rate", _metrics("failed_payment_pct", with_success=True))
 _reg("sql_revenue_growth", _metrics("revenue_growth"))
+
+
+def _failures(method: str, **kw) -> QueryFn:
+    from ledgerlens.operators.failures import FailureMonitor
+
+    return lambda spark, d: getattr(FailureMonitor(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+
+
+for _m in ("failure_monitor", "failure_monitor_total", "retry_detail", "retry_summary",
+           "duplicate_transactions", "stale_pending", "revenue_leakage", "leakage_total", "failure_trend",
+           "top_failure_reasons", "gateway_health", "null_monitoring"):
+    _reg(_m, _failures(_m))
+_reg("reconciliation_check", _failures("reconciliation_summary"))
+_reg("retry_analysis", _failures("retry_analysis_summary"))
