@@ -48,3 +48,15 @@ for _m in ("failure_monitor", "failure_monitor_total", "retry_detail", "retry_su
     _reg(_m, _failures(_m))
 _reg("reconciliation_check", _failures("reconciliation_summary"))
 _reg("retry_analysis", _failures("retry_analysis_summary"))
+
+
+def _cohort(method: str, **kw) -> QueryFn:
+    from ledgerlens.operators.cohort import CohortEngine
+
+    return lambda spark, d: getattr(CohortEngine(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+
+
+for _m in ("cohort_size", "cohort_revenue_raw", "sql_cohort_revenue", "cohort_count", "cohort_revenue_matrix",
+           "cohort_retention", "cohort_arpu", "cohort_lifetime"):
+    _reg(_m, _cohort(_m))
+_reg("heatmap_long", _cohort("cohort_heatmap_long"))
