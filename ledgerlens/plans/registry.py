@@ -60,3 +60,15 @@ for _m in ("cohort_size", "cohort_revenue_raw", "sql_cohort_revenue", "cohort_co
            "cohort_retention", "cohort_arpu", "cohort_lifetime"):
     _reg(_m, _cohort(_m))
 _reg("heatmap_long", _cohort("cohort_heatmap_long"))
+
+
+def _checks(method: str, **kw) -> QueryFn:
+    from ledgerlens.operators.checks import Validator
+
+    return lambda spark, d: getattr(Validator(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+
+
+for _m in ("validate_arpu", "validate_revenue", "validate_cohort", "validate_failure_rate", "detect_duplicates",
+           "detect_nulls", "freshness_check", "orphan_check", "run_all", "quality_report", "null_scan",
+           "duplicates_detail"):
+    _reg(_m, _checks(_m))
