@@ -17,15 +17,31 @@ RUPEE = "₹"
 DASH = "—"
 
 
+def dec_round(c: ColumnOrName, digits: int) -> Column:
+    """Half-up rounding on the 6-dp decimal form — display digits agree across engines
+    (printf-style formatting of a raw double rounds ties differently per runtime)."""
+    return F.round(_c(c).cast("decimal(38,6)"), digits)
+
+
+def fixed(c: ColumnOrName, digits: int) -> Column:
+    """``{x:.Nf}`` text (the rounded decimal has exactly N decimals)."""
+    return dec_round(c, digits).cast("string")
+
+
+def fixed_commas(c: ColumnOrName, digits: int) -> Column:
+    """``{x:,.Nf}`` text (thousands separators)."""
+    return F.format_number(dec_round(c, digits), digits)
+
+
 def fmt_inr(c: ColumnOrName) -> Column:
     v = _c(c).cast("double")
-    return (F.when(v >= F.lit(CRORE), F.format_string(RUPEE + "%.2f Cr", v / F.lit(CRORE)))
-            .when(v >= F.lit(LAKH), F.format_string(RUPEE + "%.2f L", v / F.lit(LAKH)))
-            .otherwise(F.concat(F.lit(RUPEE), F.format_number(v, 0))))
+    return (F.when(v >= F.lit(CRORE), F.concat(F.lit(RUPEE), fixed(v / F.lit(CRORE), 2), F.lit(" Cr")))
+            .when(v >= F.lit(LAKH), F.concat(F.lit(RUPEE), fixed(v / F.lit(LAKH), 2), F.lit(" L")))
+            .otherwise(F.concat(F.lit(RUPEE), fixed_commas(v, 0))))
 
 
 def fmt_pct(c: ColumnOrName) -> Column:
-    return F.format_string("%.1f%%", _c(c).cast("double"))
+    return F.concat(fixed(c, 1), F.lit("%"))
 
 
 def pct_or_dash(c: ColumnOrName) -> Column:

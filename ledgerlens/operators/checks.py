@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import count_where, month_key, pct, py_str_2dp, r2, ratio
+from ledgerlens.functions.fmt import fixed, fixed_commas
 from ledgerlens.operators.failures import FINGERPRINT, duplicate_groups
 from ledgerlens.params import Params
 from ledgerlens.sources.tables import Tables
@@ -47,15 +48,15 @@ def _s(v) -> Column:
 
 
 def _f2(c: Column) -> Column:
-    return F.format_string("%.2f", c)
+    return fixed(c, 2)
 
 
 def _f1(c: Column) -> Column:
-    return F.format_string("%.1f", c)
+    return fixed(c, 1)
 
 
 def _comma2(c: Column) -> Column:
-    return F.format_number(c, 2)
+    return fixed_commas(c, 2)
 
 
 def _comma0(c: Column) -> Column:
@@ -179,7 +180,7 @@ class Validator:
         excess = F.coalesce(F.col("excess_rows"), F.lit(0))
         rate = F.coalesce(F.col("duplicate_rate"), F.lit(0.0))
         mx = p.max_duplicate_rate
-        rate_pct = F.format_string("%.2f%%", rate * F.lit(100.0))
+        rate_pct = F.concat(fixed(rate * F.lit(100.0), 2), F.lit("%"))
         fail, warn = rate > F.lit(mx), groups > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
         mx_txt = f"{mx:.2%}".replace("%", "%%")

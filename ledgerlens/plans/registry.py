@@ -72,3 +72,165 @@ for _m in ("validate_arpu", "validate_revenue", "validate_cohort", "validate_fai
            "detect_nulls", "freshness_check", "orphan_check", "run_all", "quality_report", "null_scan",
            "duplicates_detail"):
     _reg(_m, _checks(_m))
+
+
+# ---------------------------------------------------------------- sources, ETL, report sinks
+def _scratch(spark: SparkSession, name: str) -> str:
+    from ledgerlens.session import scratch_path
+
+    return scratch_path(spark, name)
+
+
+def q_src_csv(spark, d):
+    from ledgerlens.sources.csv import read_csv, write_csv
+
+    t = bind(spark, d)
+    path = write_csv(t.payments, _scratch(spark, "payments-csv"))
+    return read_csv(spark, path, schema=t.payments.schema)
+
+
+def q_src_table(spark, d):
+    from ledgerlens.sources.tables import read_table, write_table
+
+    root = _scratch(spark, "store")
+    write_table(bind(spark, d).users, root, "users")
+    return read_table(spark, root, "users")
+
+
+def q_load_table(spark, d):
+    from ledgerlens.sources.csv import write_csv
+    from ledgerlens.sources.etl import load_table
+    from ledgerlens.sources.tables import read_table
+
+    apps = bind(spark, d).applications
+    csv_path = write_csv(apps, _scratch(spark, "applications-csv"))
+    root = _scratch(spark, "store")
+    if load_table(spark, csv_path, root, "applications", schema=apps.schema) < 0:
+        raise RuntimeError("applications: stored row count differs from the source")
+    return read_table(spark, root, "applications")
+
+
+def q_load_all(spark, d):
+    """Bound tables exported as CSVs (events without the retry_success rows, which the
+    load derives) → ``load_all`` into a fresh store → row counts of the stored tables."""
+    from ledgerlens.sources.csv import write_csv
+    from ledgerlens.sources.etl import RETRY_EVENT_TYPE, load_all, post_load_counts
+    from ledgerlens.sources.tables import read_tables
+
+    t = bind(spark, d)
+    t = t.replace(revenue_events=t.revenue_events.where(F.col("event_type") != RETRY_EVENT_TYPE))
+    csv_dir, root = _scratch(spark, "csv"), _scratch(spark, "store")
+    for name, df in t.as_dict().items():
+        write_csv(df, f"{csv_dir}/{name}.csv")
+    result = load_all(spark, csv_dir, root)
+    if not result.ok:
+        raise RuntimeError(f"load_all: row count mismatch {result.rows}")
+    return post_load_counts(read_tables(spark, root))
+
+
+def _etl(fn_name: str, *tables: str, **kw) -> QueryFn:
+    def q(spark, d):
+        from ledgerlens.sources import etl
+
+        t = bind(spark, d)
+        args = [getattr(t, n) for n in tables] if tables else [t]
+        return getattr(etl, fn_name)(*args, **kw)
+
+    return q
+
+
+def _export(which: str) -> QueryFn:
+    def q(spark, d):
+        from ledgerlens.operators.checks import Validator
+        from ledgerlens.operators.cohort import CohortEngine
+        from ledgerlens.operators.failures import FailureMonitor
+        from ledgerlens.sources import reports
+
+        t, out = bind(spark, d), _scratch(spark, "reports")
+        if which == "revenue":
+            src = MetricsEngine(t, FIXTURE_PARAMS).monthly_revenue()
+            path = reports.export_revenue_report(MetricsEngine(t, FIXTURE_PARAMS), out)
+        elif which == "cohort":
+            src = CohortEngine(t, FIXTURE_PARAMS).cohort_arpu()
+            path = reports.export_cohort_report(CohortEngine(t, FIXTURE_PARAMS), out)
+        elif which in ("failure", "retry"):
+            fm = FailureMonitor(t, FIXTURE_PARAMS)
+            a, b = reports.export_full_report(fm, out)
+            src, path = (fm.failure_monitor(), a) if which == "failure" else (fm.retry_summary(), b)
+        else:
+            src = Validator(t, FIXTURE_PARAMS).quality_report()
+            path = reports.export_quality_report(Validator(t, FIXTURE_PARAMS), out)
+        return reports.read_report(spark, path, src.schema)
+
+    return q
+
+
+import datetime as _dt  # noqa: E402
+
+from pyspark.sql import functions as F  # noqa: E402
+
+_reg("src_csv", q_src_csv)
+_reg("src_table", q_src_table)
+_reg("load_table", q_load_table)
+_reg("load_all", q_load_all)
+_reg("post_load_counts", _etl("post_load_counts"))
+_reg("retry_success_events", _etl("retry_success_events", "payment_failures"))
+_reg("derive_revenue_events", _etl("derive_revenue_events", "payments"))
+_reg("derive_payment_failures", _etl("derive_payment_failures", "payments", "users"))
+_reg("cap_recovery", _etl("cap_recovery", "payment_failures", period_end=_dt.date(2000, 12, 31)))
+_reg("derive_cohort_month", _etl("derive_cohort_month", "users"))
+_reg("profile_datasets", _etl("profile_datasets"))
+_reg("export_revenue_report", _export("revenue"))
+_reg("export_cohort_report", _export("cohort"))
+_reg("export_full_report", _export("failure"))
+_reg("export_retry_report", _export("retry"))
+_reg("export_quality_report", _export("quality"))
+
+
+# ---------------------------------------------------------------- dashboard data preparation
+def _view(build) -> QueryFn:
+    def q(spark, d):
+        from ledgerlens.operators.checks import Validator
+        from ledgerlens.operators.cohort import CohortEngine
+        from ledgerlens.operators.failures import FailureMonitor
+
+        t = bind(spark, d)
+        engines = {"m": MetricsEngine(t, FIXTURE_PARAMS), "c": CohortEngine(t, FIXTURE_PARAMS),
+                   "f": FailureMonitor(t, FIXTURE_PARAMS), "v": Validator(t, FIXTURE_PARAMS)}
+        return build(**engines)
+
+    return q
+
+
+def _views():
+    from ledgerlens.operators import views as V
+
+    return {
+        "growth_clean": lambda m, **_: V.growth_clean(m.revenue_growth()),
+        "gateway_revenue_share": lambda m, **_: V.gateway_revenue_share(m.revenue_by_gateway()),
+        "reason_loss_share": lambda f, **_: V.reason_loss_share(f.top_failure_reasons()),
+        "null_pct": lambda v, **_: V.null_pct(v.null_scan()),
+        "status_counts": lambda v, **_: V.status_counts(v.run_all()),
+        "worst_status": lambda v, **_: V.worst_status(v.run_all()),
+        "checks_display": lambda v, **_: V.checks_display(v.run_all()),
+        "check_line": lambda v, **_: V.check_line(v.run_all()),
+        "duplicates_top15": lambda f, **_: V.head(f.duplicate_transactions(), 15),
+        "gateway_revenue_display": lambda m, **_: V.rename_for_display(m.revenue_by_gateway(),
+                                                                       V.GATEWAY_REVENUE_LABELS),
+        "fmt_inr": lambda m, **_: V.with_inr(m.daily_revenue_trend(), "daily_revenue"),
+        "fmt_pct": lambda m, **_: V.with_pct_text(m.gateway_success_pct(), "success_pct"),
+        "retention_display": lambda c, **_: V.retention_display(c.cohort_retention()),
+        "gateway_rate_long": lambda f, **_: V.gateway_rate_long(f.gateway_health()),
+        "collected_vs_lost": lambda f, **_: V.collected_vs_lost(f.gateway_health()),
+        "monthly_revenue_tail5": lambda m, **_: V.tail_by(m.monthly_revenue(), "month", 5),
+        "growth_tail5": lambda m, **_: V.tail_by(m.revenue_growth(), "month", 5),
+        "revenue_lost_top5": lambda m, **_: V.head(m.revenue_lost(), 5),
+        "failure_monitor_top8": lambda f, **_: V.head(f.failure_monitor(), 8),
+        "retry_detail_head10": lambda f, **_: V.head(f.retry_detail(), 10),
+        "leakage_top10": lambda f, **_: V.head(f.revenue_leakage(), 10),
+        "duplicates_top5": lambda f, **_: V.head(f.duplicate_transactions(), 5),
+    }
+
+
+for _k, _b in _views().items():
+    _reg(_k, _view(_b))
