@@ -16,6 +16,18 @@ from ledgerlens.sources.binding import bind
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
+_BOUND: dict[tuple[int, str], tuple[SparkSession, object]] = {}
+
+
+def bound(spark: SparkSession, sf_dir: str):
+    """The bound tables of ``sf_dir``, planned once per session (like registering
+    tables once and running many queries over them)."""
+    key = (id(spark), sf_dir.rstrip("/"))
+    hit = _BOUND.get(key)
+    if hit is None or hit[0] is not spark:
+        hit = (spark, bind(spark, sf_dir))
+        _BOUND[key] = hit
+    return hit[1]
 
 
 def _reg(key: str, fn: QueryFn) -> None:
@@ -25,7 +37,7 @@ def _reg(key: str, fn: QueryFn) -> None:
 
 
 def _metrics(method: str, **kw) -> QueryFn:
-    return lambda spark, d: getattr(MetricsEngine(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+    return lambda spark, d: getattr(MetricsEngine(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
 for _m in ("arpu", "monthly_revenue", "revenue_growth", "revenue_by_gateway", "failed_payment_pct",
@@ -39,7 +51,7 @@ _reg("sql_revenue_growth", _metrics("revenue_growth"))
 def _failures(method: str, **kw) -> QueryFn:
     from ledgerlens.operators.failures import FailureMonitor
 
-    return lambda spark, d: getattr(FailureMonitor(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+    return lambda spark, d: getattr(FailureMonitor(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
 for _m in ("failure_monitor", "failure_monitor_total", "retry_detail", "retry_summary",
@@ -53,7 +65,7 @@ _reg("retry_analysis", _failures("retry_analysis_summary"))
 def _cohort(method: str, **kw) -> QueryFn:
     from ledgerlens.operators.cohort import CohortEngine
 
-    return lambda spark, d: getattr(CohortEngine(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+    return lambda spark, d: getattr(CohortEngine(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
 for _m in ("cohort_size", "cohort_revenue_raw", "sql_cohort_revenue", "cohort_count", "cohort_revenue_matrix",
@@ -65,7 +77,7 @@ _reg("heatmap_long", _cohort("cohort_heatmap_long"))
 def _checks(method: str, **kw) -> QueryFn:
     from ledgerlens.operators.checks import Validator
 
-    return lambda spark, d: getattr(Validator(bind(spark, d), FIXTURE_PARAMS), method)(**kw)
+    return lambda spark, d: getattr(Validator(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
 for _m in ("validate_arpu", "validate_revenue", "validate_cohort", "validate_failure_rate", "detect_duplicates",
@@ -84,7 +96,7 @@ def _scratch(spark: SparkSession, name: str) -> str:
 def q_src_csv(spark, d):
     from ledgerlens.sources.csv import read_csv, write_csv
 
-    t = bind(spark, d)
+    t = bound(spark, d)
     path = write_csv(t.payments, _scratch(spark, "payments-csv"))
     return read_csv(spark, path, schema=t.payments.schema)
 
@@ -93,7 +105,7 @@ def q_src_table(spark, d):
     from ledgerlens.sources.tables import read_table, write_table
 
     root = _scratch(spark, "store")
-    write_table(bind(spark, d).users, root, "users")
+    write_table(bound(spark, d).users, root, "users")
     return read_table(spark, root, "users")
 
 
@@ -102,7 +114,7 @@ def q_load_table(spark, d):
     from ledgerlens.sources.etl import load_table
     from ledgerlens.sources.tables import read_table
 
-    apps = bind(spark, d).applications
+    apps = bound(spark, d).applications
     csv_path = write_csv(apps, _scratch(spark, "applications-csv"))
     root = _scratch(spark, "store")
     if load_table(spark, csv_path, root, "applications", schema=apps.schema) < 0:
@@ -117,7 +129,7 @@ def q_load_all(spark, d):
     from ledgerlens.sources.etl import RETRY_EVENT_TYPE, load_all, post_load_counts
     from ledgerlens.sources.tables import read_tables
 
-    t = bind(spark, d)
+    t = bound(spark, d)
     t = t.replace(revenue_events=t.revenue_events.where(F.col("event_type") != RETRY_EVENT_TYPE))
     csv_dir, root = _scratch(spark, "csv"), _scratch(spark, "store")
     for name, df in t.as_dict().items():
@@ -132,7 +144,7 @@ def _etl(fn_name: str, *tables: str, **kw) -> QueryFn:
     def q(spark, d):
         from ledgerlens.sources import etl
 
-        t = bind(spark, d)
+        t = bound(spark, d)
         args = [getattr(t, n) for n in tables] if tables else [t]
         return getattr(etl, fn_name)(*args, **kw)
 
@@ -146,7 +158,7 @@ def _export(which: str) -> QueryFn:
         from ledgerlens.operators.failures import FailureMonitor
         from ledgerlens.sources import reports
 
-        t, out = bind(spark, d), _scratch(spark, "reports")
+        t, out = bound(spark, d), _scratch(spark, "reports")
         if which == "revenue":
             src = MetricsEngine(t, FIXTURE_PARAMS).monthly_revenue()
             path = reports.export_revenue_report(MetricsEngine(t, FIXTURE_PARAMS), out)
@@ -194,7 +206,7 @@ def _view(build) -> QueryFn:
         from ledgerlens.operators.cohort import CohortEngine
         from ledgerlens.operators.failures import FailureMonitor
 
-        t = bind(spark, d)
+        t = bound(spark, d)
         engines = {"m": MetricsEngine(t, FIXTURE_PARAMS), "c": CohortEngine(t, FIXTURE_PARAMS),
                    "f": FailureMonitor(t, FIXTURE_PARAMS), "v": Validator(t, FIXTURE_PARAMS)}
         return build(**engines)

@@ -10,29 +10,47 @@ Stored layout (one folder per table under a root path, Parquet):
 
 from __future__ import annotations
 
-from dataclasses import dataclass, fields
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
 
 
-@dataclass(frozen=True)
 class Tables:
-    users: DataFrame
-    payments: DataFrame
-    applications: DataFrame
-    revenue_events: DataFrame
-    payment_failures: DataFrame
+    """The five domain tables. Each may be given as a DataFrame or as a zero-argument
+    callable that builds it; a callable runs on first access only, so an operator
+    that reads two tables never plans the other three."""
+
+    __slots__ = ("_src", "_built")
+
+    def __init__(self, **frames):
+        unknown = set(frames) - set(TABLE_NAMES)
+        missing = set(TABLE_NAMES) - set(frames)
+        if unknown or missing:
+            raise TypeError(f"Tables needs exactly {TABLE_NAMES}; unknown={sorted(unknown)} missing={sorted(missing)}")
+        object.__setattr__(self, "_src", dict(frames))
+        object.__setattr__(self, "_built", {})
+
+    def __getattr__(self, name: str) -> DataFrame:
+        src = object.__getattribute__(self, "_src")
+        if name not in src:
+            raise AttributeError(name)
+        built = object.__getattribute__(self, "_built")
+        if name not in built:
+            v = src[name]
+            built[name] = v if isinstance(v, DataFrame) else v()
+        return built[name]
+
+    def __setattr__(self, name, value):
+        raise AttributeError("Tables is immutable; use replace()")
 
     def as_dict(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {n: getattr(self, n) for n in TABLE_NAMES}
 
     def replace(self, **kw: DataFrame) -> "Tables":
-        d = self.as_dict()
-        d.update(kw)
-        return Tables(**d)
+        src = dict(object.__getattribute__(self, "_src"))
+        src.update(kw)
+        return Tables(**src)
 
     def register_views(self) -> None:
         """Expose every table as a temp view of the same name for spark.sql."""
