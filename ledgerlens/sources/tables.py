@@ -70,7 +70,8 @@ def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
-    return Tables(**{n: read_table(spark, root, n) for n in TABLE_NAMES})
+    """All five stored tables; each is opened (file listing, footers) on first use only."""
+    return Tables(**{n: (lambda n=n: read_table(spark, root, n)) for n in TABLE_NAMES})
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
