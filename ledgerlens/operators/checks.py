@@ -1,16 +1,26 @@
 """Graded data-quality checks.
 
-Each check is a one-row DataFrame ``check_name, status, message, metric,
-threshold`` (all STRING): the aggregates are computed by Spark and the status
-rule and message are column expressions (``when`` chains, ``format_string``),
-so a check never pulls data to the driver. ``run_all`` unions the eight rows
-lazily; ``run_all_isolated`` evaluates each check separately so that one that
-raises becomes an ``ERROR`` row instead of failing the report.
-
-Plan notes: duplicate statistics and the payment total come from one grouping
-pass (the total is the sum of the group sizes, no second scan); the null scan
-is one conditional-count aggregate per table; payments are pre-aggregated per
-user (orphans) or per user-day (pre-signup) before their join with ``users``.
+Each check is a row ``check_name, status, message, metric, threshold`` (all
+STRING). The aggregates are computed by Spark and the status rule and message
+are column expressions (``when`` chains, ``format_string``), so a check never
+pulls data to the driver. ``run_all_isolated`` evaluates each check as its own
+job so that one that raises becomes an ``ERROR`` row instead of failing the report.
+
+Plan: all eight checks are answered from five aggregate passes —
+
+* payments profile: one pass for ARPU, revenue, failure rate, freshness and the
+  payment null counts;
+* payments ⟕ users, pre-aggregated per (user, day) map-side: orphans and
+  pre-signup payments together;
+* fingerprint grouping: duplicate statistics (the payment total is the sum of
+  the group sizes, so no second count);
+* users and payment_failures: cohort statistics and null counts.
+
+The one-row results are combined into one wide row (``union`` + ``max``, no
+join) and ``run_all`` turns it into the eight check rows with
+``inline(array(struct, …))``. Separate selects per check would not share work:
+Catalyst prunes each copy of the shared aggregate to the columns that copy
+needs, so the copies differ and each would rescan payments.
 """
 
 from __future__ import annotations
@@ -81,30 +91,88 @@ class Validator:
         self.t = tables
         self.params = params or Params()
 
-    # -- V1 ------------------------------------------------------------------------
-    def validate_arpu(self) -> DataFrame:
+    # -- the five aggregate passes --------------------------------------------------------
+    def payments_profile(self) -> DataFrame:
+        st, amt = F.col("status"), F.col("amount")
+        ok = st == "success"
+        return self.t.payments.agg(
+            F.sum(F.when(ok, amt)).alias("succ_rev"),
+            F.countDistinct(F.when(ok, F.col("user_id"))).alias("payers"),
+            F.sum(F.when(ok, amt).otherwise(F.lit(0))).alias("rev_else0"),
+            count_where(amt <= 0).alias("nonpos"),
+            F.count(F.lit(1)).alias("t_payments"),
+            count_where(st == "failed").alias("failed"),
+            F.max(F.when(ok, F.col("payment_date"))).alias("latest"),
+            count_where(ok).alias("succ_n"),
+            *_null_counts("payments"))
+
+    def payments_user_links(self) -> DataFrame:
+        """orphan_payments and pre_signup from one payments ⟕ users pass.
+
+        Payments are first reduced to one row per (user, day) map-side, so a user
+        with a large share of all payments reaches the join as a few rows.
+        """
+        per = self.t.payments.groupBy("user_id", "payment_date").agg(
+            F.count(F.lit(1)).alias("n"), count_where(F.col("status") == "success").alias("n_ok"))
+        u = self.t.users.select("user_id", "signup_date", F.lit(1).alias("_present"))
+        j = per.join(u, "user_id", "left")
+        present = F.col("_present").isNotNull()
+        return j.agg(
+            F.coalesce(F.sum(F.when(~present, F.col("n"))), F.lit(0)).cast("bigint").alias("orphan_payments"),
+            F.coalesce(F.sum(F.when(present & (F.col("payment_date") < F.col("signup_date")), F.col("n_ok"))),
+                       F.lit(0)).cast("bigint").alias("pre_signup"))
+
+    def duplicate_stats(self) -> DataFrame:
+        """duplicate_groups, total_duplicate_rows, excess_rows, duplicate_rate in one grouping pass."""
+        g = self.t.payments.groupBy(*FINGERPRINT).agg(F.count("payment_id").alias("cnt"),
+                                                      F.count(F.lit(1)).alias("rows"))
+        dup = F.col("cnt") > 1
+        a = g.agg(count_where(dup).alias("duplicate_groups"),
+                  F.sum(F.when(dup, F.col("cnt"))).alias("total_duplicate_rows"),
+                  F.sum("rows").alias("all_rows"))
+        excess = F.col("total_duplicate_rows") - F.col("duplicate_groups")
+        return a.select("duplicate_groups", "total_duplicate_rows", excess.alias("excess_rows"),
+                        ratio(excess, "all_rows").alias("duplicate_rate"))
+
+    def users_profile(self) -> DataFrame:
+        cm = F.col("cohort_month")
+        return self.t.users.agg(
+            F.count(F.lit(1)).alias("t_users"),
+            count_where(cm != month_key("signup_date")).alias("coh_mismatched"),
+            F.countDistinct(cm).alias("n_cohorts"),
+            *_null_counts("users"))
+
+    def failures_profile(self) -> DataFrame:
+        return self.t.payment_failures.agg(F.count(F.lit(1)).alias("t_payment_failures"),
+                                           *_null_counts("payment_failures"))
+
+    def _wide(self, *parts: str) -> DataFrame:
+        """The named one-row aggregates side by side in one row (union, then max per column)."""
+        frames = [getattr(self, p)() for p in parts]
+        if len(frames) == 1:
+            return frames[0]
+        cols = [c for f in frames for c in f.columns]
+        u = frames[0]
+        for f in frames[1:]:
+            u = u.unionByName(f, allowMissingColumns=True)
+        return u.agg(*[F.max(c).alias(c) for c in cols])
+
+    # -- rules: four STRING columns per check over the wide row --------------------------------
+    def _rule_validate_arpu(self):
         p = self.params
-        a = (self.t.payments.where(F.col("status") == "success")
-             .agg(F.sum("amount").alias("rev"), F.countDistinct("user_id").alias("payers")))
-        arpu = F.coalesce(r2(ratio("rev", "payers")), F.lit(0.0))
+        arpu = F.coalesce(r2(ratio("succ_rev", "payers")), F.lit(0.0))
         payers = F.col("payers")
-        status = _pick((payers == 0, F.lit("WARN")), (arpu < F.lit(p.min_arpu), F.lit("FAIL")),
-                       otherwise=F.lit("PASS"))
+        low = arpu < F.lit(p.min_arpu)
+        status = _pick((payers == 0, F.lit("WARN")), (low, F.lit("FAIL")), otherwise=F.lit("PASS"))
         msg = _pick((payers == 0, F.lit(MSG_NO_PAYERS)),
-                    (arpu < F.lit(p.min_arpu),
-                     F.format_string("ARPU %s below minimum %s.", _f2(arpu), _s(p.min_arpu))),
+                    (low, F.format_string("ARPU %s below minimum %s.", _f2(arpu), _s(p.min_arpu))),
                     otherwise=F.format_string("ARPU=%s  paying_users=%s", _comma2(arpu), _comma0(payers)))
-        return _check(a, "validate_arpu", status, msg, py_str_2dp(arpu), _s(p.min_arpu))
+        return status, msg, py_str_2dp(arpu), _s(p.min_arpu)
 
-    # -- V2 ------------------------------------------------------------------------
-    def validate_revenue(self) -> DataFrame:
-        st, amt = F.col("status"), F.col("amount")
-        a = self.t.payments.agg(
-            F.sum(F.when(st == "success", amt).otherwise(F.lit(0))).alias("rev"),
-            count_where(amt <= 0).alias("nonpos"), count_where(amt.isNull()).alias("nulls"))
-        rev_dec = F.coalesce(F.col("rev"), F.lit(0))
+    def _rule_validate_revenue(self):
+        rev_dec = F.coalesce(F.col("rev_else0"), F.lit(0))
         rev = rev_dec.cast("double")
-        nonpos, nulls = F.col("nonpos"), F.col("nulls")
+        nonpos, nulls = F.col("nonpos"), F.col("n_payments_amount")
         fail, warn = rev <= 0, (nonpos > 0) | (nulls > 0)
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
         msg = _pick((fail, F.format_string("Total revenue is %s — pipeline may be broken.", _f2(rev))),
@@ -112,26 +180,11 @@ class Validator:
                                            _comma2(rev), nonpos.cast("string"), nulls.cast("string"))),
                     otherwise=F.format_string("Total revenue = %s — clean.", _comma2(rev)))
         thr = F.when(~fail & warn, F.lit("no nulls/negatives")).otherwise(F.lit("> 0"))
-        return _check(a, "validate_revenue", status, msg, py_str_2dp(rev_dec), thr)
-
-    # -- V3 ------------------------------------------------------------------------
-    def _pre_signup_count(self) -> DataFrame:
-        per_user_day = (self.t.payments.where(F.col("status") == "success")
-                        .groupBy("user_id", "payment_date").agg(F.count(F.lit(1)).alias("n")))
-        j = per_user_day.join(self.t.users.select("user_id", "signup_date"), "user_id")
-        return j.where(F.col("payment_date") < F.col("signup_date")).agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("pre_signup"))
+        return status, msg, py_str_2dp(rev_dec), thr
 
-    def validate_cohort(self) -> DataFrame:
-        u = self.t.users
-        cm = F.col("cohort_month")
-        a = u.agg(count_where(cm.isNull()).alias("nulls"),
-                  count_where(cm != month_key("signup_date")).alias("mismatched"),
-                  F.countDistinct(cm).alias("n_cohorts"))
-        # Two one-row aggregates of different tables side by side: union, then take each value.
-        both = (a.unionByName(self._pre_signup_count(), allowMissingColumns=True)
-                .agg(*[F.max(c).alias(c) for c in ("nulls", "mismatched", "n_cohorts", "pre_signup")]))
-        nulls, mism, n, pre = F.col("nulls"), F.col("mismatched"), F.col("n_cohorts"), F.col("pre_signup")
+    def _rule_validate_cohort(self):
+        nulls, mism = F.col("n_users_cohort_month"), F.col("coh_mismatched")
+        n, pre = F.col("n_cohorts"), F.col("pre_signup")
         fail, warn = (nulls > 0) | (pre > 0), mism > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
         msg = _pick((fail, F.format_string("%s null cohort months; %s pre-signup payments.",
@@ -141,122 +194,67 @@ class Validator:
                     otherwise=F.format_string("%s cohorts — all valid, 0 pre-signup anomalies.",
                                               n.cast("string")))
         thr = F.when(~fail & warn, F.lit("zero mismatches")).otherwise(F.lit("no nulls / no pre-signup"))
-        return _check(both, "validate_cohort", status, msg, n, thr)
+        return status, msg, n.cast("string"), thr
 
-    # -- V4 ------------------------------------------------------------------------
-    def validate_failure_rate(self) -> DataFrame:
+    def _rule_validate_failure_rate(self):
         p = self.params
-        a = self.t.payments.agg(F.count(F.lit(1)).alias("total"),
-                                count_where(F.col("status") == "failed").alias("failed"))
-        rate = F.coalesce(pct("failed", "total"), F.lit(0.0))
-        total, failed = F.col("total").cast("string"), F.col("failed").cast("string")
+        rate = F.coalesce(pct("failed", "t_payments"), F.lit(0.0))
+        total, failed = F.col("t_payments").cast("string"), F.col("failed").cast("string")
         max_pct, warn_pct = p.max_failure_pct, p.warn_failure_pct
-        thr = f"<= {max_pct:.0f}%"
         fail, warn = rate > F.lit(max_pct), rate > F.lit(warn_pct)
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
         msg = _pick((fail, F.format_string(f"Failure rate %s%% exceeds max {max_pct:.0f}%% (%s/%s).",
                                            _f1(rate), failed, total)),
                     (warn, F.format_string("Failure rate %s%% approaching threshold.", _f1(rate))),
                     otherwise=F.format_string("Failure rate %s%%  (%s/%s).", _f1(rate), failed, total))
-        return _check(a, "validate_failure_rate", status, msg, py_str_2dp(rate), F.lit(thr))
+        return status, msg, py_str_2dp(rate), F.lit(f"<= {max_pct:.0f}%")
 
-    # -- V5 / V6 ---------------------------------------------------------------------
-    def duplicate_stats(self) -> DataFrame:
-        """duplicate_groups, total_duplicate_rows, excess_rows, duplicate_rate in one grouping pass."""
-        g = self.t.payments.groupBy(*FINGERPRINT).agg(F.count("payment_id").alias("cnt"),
-                                                      F.count(F.lit(1)).alias("rows"))
-        dup = F.col("cnt") > 1
-        a = g.agg(count_where(dup).alias("duplicate_groups"),
-                  F.sum(F.when(dup, F.col("cnt"))).alias("total_duplicate_rows"),
-                  F.sum("rows").alias("all_rows"))
-        excess = F.col("total_duplicate_rows") - F.col("duplicate_groups")
-        return a.select("duplicate_groups", "total_duplicate_rows", excess.alias("excess_rows"),
-                        ratio(excess, "all_rows").alias("duplicate_rate"))
-
-    def detect_duplicates(self) -> DataFrame:
-        p = self.params
-        s = self.duplicate_stats()
+    def _rule_detect_duplicates(self):
+        mx = self.params.max_duplicate_rate
         groups = F.coalesce(F.col("duplicate_groups"), F.lit(0))
         excess = F.coalesce(F.col("excess_rows"), F.lit(0))
         rate = F.coalesce(F.col("duplicate_rate"), F.lit(0.0))
-        mx = p.max_duplicate_rate
         rate_pct = F.concat(fixed(rate * F.lit(100.0), 2), F.lit("%"))
+        mx_txt = f"{mx:.2%}".replace("%", "%%")
         fail, warn = rate > F.lit(mx), groups > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        mx_txt = f"{mx:.2%}".replace("%", "%%")
         msg = _pick((fail, F.format_string(f"Duplicate rate %s exceeds max {mx_txt} (%s groups, %s excess rows).",
                                            rate_pct, groups.cast("string"), excess.cast("string"))),
                     (warn, F.format_string("%s duplicate groups (%s excess rows) — rate %s within threshold.",
                                            groups.cast("string"), excess.cast("string"), rate_pct)),
                     otherwise=F.lit(MSG_NO_DUPES))
-        return _check(s, "detect_duplicates", status, msg, rate.cast("string"), _s(mx))
-
-    def duplicates_detail(self, limit: int = 20) -> DataFrame:
-        """Top ``limit`` duplicate groups by count, then amount (a top-k report)."""
-        g = duplicate_groups(self.t.payments)
-        return (g.select("user_id", "payment_date", "amount", "gateway", "duplicate_count", "payment_ids")
-                .orderBy(F.desc("duplicate_count"), F.desc("amount"), "user_id", "payment_date")
-                .limit(limit))
-
-    # -- V7 / V8 ---------------------------------------------------------------------
-    def null_scan(self) -> DataFrame:
-        """column_ref, null_count, total_rows, null_rate for the ten scanned columns."""
-        return self._null_scan().drop("ord")
-
-    def _null_scan(self) -> DataFrame:
-        """The null scan with its scan-order ordinal ``ord`` (one aggregate pass per table)."""
-        parts = []
-        for table in ("users", "payments", "payment_failures"):
-            cols = [(i, c) for i, (t, c) in enumerate(NULL_SCAN_COLUMNS) if t == table]
-            df = getattr(self.t, table)
-            a = df.agg(F.count(F.lit(1)).alias("total_rows"),
-                       *[count_where(F.col(c).isNull()).alias(f"n{i}") for i, c in cols])
-            stack = ", ".join(f"{i}, '{table}.{c}', n{i}" for i, c in cols)
-            parts.append(a.selectExpr(f"stack({len(cols)}, {stack}) AS (ord, column_ref, null_count)",
-                                      "total_rows"))
-        out = parts[0].unionByName(parts[1]).unionByName(parts[2])
-        tot = F.col("total_rows")
-        rate = F.col("null_count").cast("double") / F.when(tot == 0, F.lit(1)).otherwise(tot).cast("double")
-        return out.select("ord", "column_ref", "null_count", "total_rows", rate.alias("null_rate"))
+        return status, msg, rate.cast("string"), _s(mx)
 
-    def detect_nulls(self) -> DataFrame:
+    def _rule_detect_nulls(self):
         p = self.params
-        scan = self._null_scan()
-        crit = F.col("column_ref").isin(*CRITICAL_COLUMNS) & (F.col("null_count") > 0)
-        high = F.col("null_rate") > F.lit(p.max_null_rate)
-
-        def py_list(cond: Column) -> Column:
-            """Python-list text of the matching column names in scan order: ['a', 'b']."""
-            items = F.array_sort(F.collect_list(F.when(cond, F.struct("ord", "column_ref"))))
-            names = F.transform(items, lambda s: F.concat(F.lit("'"), s["column_ref"], F.lit("'")))
+        scan = _scan_array()
+        crit = F.filter(scan, lambda x: x["column_ref"].isin(*CRITICAL_COLUMNS) & (x["null_count"] > 0))
+        high = F.filter(scan, lambda x: x["null_rate"] > F.lit(p.max_null_rate))
+
+        def py_list(arr):
+            names = F.transform(arr, lambda x: F.concat(F.lit("'"), x["column_ref"], F.lit("'")))
             return F.concat(F.lit("["), F.array_join(names, ", "), F.lit("]"))
 
-        a = scan.agg(count_where(crit).alias("n_crit"), count_where(high).alias("n_high"),
-                     F.count(F.lit(1)).alias("n_cols"), py_list(crit).alias("crit_list"),
-                     py_list(high).alias("high_list"))
-        fail, warn = F.col("n_crit") > 0, F.col("n_high") > 0
-        rate_thr = f"null_rate <= {p.max_null_rate:.0%}"
+        fail, warn = F.size(crit) > 0, F.size(high) > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string("Critical columns have NULLs: %s", F.col("crit_list"))),
+        msg = _pick((fail, F.format_string("Critical columns have NULLs: %s", py_list(crit))),
                     (warn, F.format_string("%s column(s) exceed null threshold: %s",
-                                           F.col("n_high").cast("string"), F.col("high_list"))),
+                                           F.size(high).cast("string"), py_list(high))),
                     otherwise=F.format_string("All %s scanned columns within null threshold.",
-                                              F.col("n_cols").cast("string")))
-        thr = F.when(fail, F.lit("0 nulls in critical columns")).otherwise(F.lit(rate_thr))
-        return _check(a, "detect_nulls", status, msg, F.lit(None).cast("string"), thr)
+                                              F.size(scan).cast("string")))
+        thr = F.when(fail, F.lit("0 nulls in critical columns")).otherwise(
+            F.lit(f"null_rate <= {p.max_null_rate:.0%}"))
+        return status, msg, F.lit(None).cast("string"), thr
 
-    # -- V9 ------------------------------------------------------------------------
-    def freshness_check(self) -> DataFrame:
+    def _rule_freshness_check(self):
         p = self.params
         as_of = p.require_as_of()
         frac_hours = as_of.hour + as_of.minute / 60 + as_of.second / 3600 + as_of.microsecond / 3.6e9
-        a = (self.t.payments.where(F.col("status") == "success")
-             .agg(F.max("payment_date").alias("latest"), F.count(F.lit(1)).alias("total")))
         latest = F.col("latest")
         latest_s = latest.cast("string")
         age = F.datediff(F.lit(as_of.date()), latest).cast("double") * F.lit(24.0) + F.lit(frac_hours)
         sla = p.freshness_sla_hours
-        none = latest.isNull() | (F.col("total") == 0)
+        none = latest.isNull() | (F.col("succ_n") == 0)
         stale = age > F.lit(float(sla))
         status = _pick((none, F.lit("FAIL")), (stale, F.lit("WARN")), otherwise=F.lit("PASS"))
         msg = _pick((none, F.lit(MSG_NO_SUCCESS)),
@@ -265,33 +263,87 @@ class Validator:
                     otherwise=F.format_string("Latest payment %s — %sh ago.", latest_s, _f1(age)))
         metric = F.when(none, F.lit(None).cast("string")).otherwise(latest_s)
         thr = F.when(none, F.lit(f"within {sla}h")).otherwise(F.lit(f"within {sla}h of now"))
-        return _check(a, "freshness_check", status, msg, metric, thr)
+        return status, msg, metric, thr
+
+    def _rule_orphan_check(self):
+        n = F.col("orphan_payments")
+        status = F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
+        msg = F.when(n > 0, F.format_string("%s payments reference non-existent users.", n.cast("string"))
+                     ).otherwise(F.lit(MSG_NO_ORPHANS))
+        return status, msg, n.cast("string"), F.lit("0")
+
+    # Which aggregate passes each check reads.
+    NEEDS = {
+        "validate_arpu": ("payments_profile",),
+        "validate_revenue": ("payments_profile",),
+        "validate_cohort": ("users_profile", "payments_user_links"),
+        "validate_failure_rate": ("payments_profile",),
+        "detect_duplicates": ("duplicate_stats",),
+        "detect_nulls": ("users_profile", "payments_profile", "failures_profile"),
+        "freshness_check": ("payments_profile",),
+        "orphan_check": ("payments_user_links",),
+    }
+    CHECK_ORDER = tuple(NEEDS)
+
+    def _one(self, name: str) -> DataFrame:
+        status, msg, metric, thr = getattr(self, f"_rule_{name}")()
+        return self._wide(*self.NEEDS[name]).select(
+            F.lit(name).alias("check_name"), status.alias("status"), msg.alias("message"),
+            metric.cast("string").alias("metric"), thr.cast("string").alias("threshold"))
+
+    def validate_arpu(self) -> DataFrame:
+        return self._one("validate_arpu")
+
+    def validate_revenue(self) -> DataFrame:
+        return self._one("validate_revenue")
+
+    def validate_cohort(self) -> DataFrame:
+        return self._one("validate_cohort")
+
+    def validate_failure_rate(self) -> DataFrame:
+        return self._one("validate_failure_rate")
+
+    def detect_duplicates(self) -> DataFrame:
+        return self._one("detect_duplicates")
+
+    def detect_nulls(self) -> DataFrame:
+        return self._one("detect_nulls")
+
+    def freshness_check(self) -> DataFrame:
+        return self._one("freshness_check")
+
+    def orphan_check(self) -> DataFrame:
+        return self._one("orphan_check")
 
-    # -- V10 -----------------------------------------------------------------------
     def orphan_count(self) -> DataFrame:
+        """Stand-alone orphan count: payments pre-aggregated per user, LEFT ANTI users."""
         per_user = self.t.payments.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
         orphans = per_user.join(self.t.users.select("user_id"), "user_id", "left_anti")
         return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_payments"))
 
-    def orphan_check(self) -> DataFrame:
-        a = self.orphan_count()
-        n = F.col("orphan_payments")
-        status = F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
-        msg = F.when(n > 0, F.format_string("%s payments reference non-existent users.", n.cast("string"))
-                     ).otherwise(F.lit(MSG_NO_ORPHANS))
-        return _check(a, "orphan_check", status, msg, n, F.lit("0"))
+    def duplicates_detail(self, limit: int = 20) -> DataFrame:
+        """Top ``limit`` duplicate groups by count, then amount (a top-k report)."""
+        g = duplicate_groups(self.t.payments)
+        return (g.select("user_id", "payment_date", "amount", "gateway", "duplicate_count", "payment_ids")
+                .orderBy(F.desc("duplicate_count"), F.desc("amount"), "user_id", "payment_date")
+                .limit(limit))
 
-    # -- V11 / V12 -------------------------------------------------------------------
-    CHECK_ORDER = ("validate_arpu", "validate_revenue", "validate_cohort", "validate_failure_rate",
-                   "detect_duplicates", "detect_nulls", "freshness_check", "orphan_check")
+    def null_scan(self) -> DataFrame:
+        """column_ref, null_count, total_rows, null_rate for the ten scanned columns, in scan order."""
+        wide = self._wide("users_profile", "payments_profile", "failures_profile")
+        return (wide.select(F.inline(_scan_array(with_ord=True)))
+                .orderBy("ord").drop("ord"))
 
+    # -- V11 / V12 -----------------------------------------------------------------------
     def run_all(self) -> DataFrame:
-        """The eight checks in fixed order, as one lazy frame."""
-        frames = [getattr(self, name)() for name in self.CHECK_ORDER]
-        out = frames[0]
-        for f in frames[1:]:
-            out = out.unionByName(f)
-        return out
+        """The eight checks in fixed order from one wide row of the five aggregate passes."""
+        parts = list(dict.fromkeys(p for name in self.CHECK_ORDER for p in self.NEEDS[name]))
+        rows = []
+        for name in self.CHECK_ORDER:
+            status, msg, metric, thr = getattr(self, f"_rule_{name}")()
+            rows.append(F.struct(F.lit(name).alias("check_name"), status.alias("status"), msg.alias("message"),
+                                 metric.cast("string").alias("metric"), thr.cast("string").alias("threshold")))
+        return self._wide(*parts).select(F.inline(F.array(*rows)))
 
     def run_all_isolated(self, spark: SparkSession) -> DataFrame:
         """Like ``run_all`` but each check runs as its own job; one that raises becomes
@@ -309,6 +361,23 @@ class Validator:
         return self.run_all().select(*CHECK_COLUMNS)
 
 
+def _null_counts(table: str) -> list[Column]:
+    return [count_where(F.col(c).isNull()).alias(f"n_{table}_{c}") for t, c in NULL_SCAN_COLUMNS if t == table]
+
+
+def _scan_array(with_ord: bool = False) -> Column:
+    """The ten (column_ref, null_count, total_rows, null_rate) entries of the wide row, in scan order."""
+    items = []
+    for i, (t, c) in enumerate(NULL_SCAN_COLUMNS):
+        n, tot = F.col(f"n_{t}_{c}"), F.col(f"t_{t}")
+        rate = n.cast("double") / F.when(tot == 0, F.lit(1)).otherwise(tot).cast("double")
+        fields = ([F.lit(i).alias("ord")] if with_ord else []) + [
+            F.lit(f"{t}.{c}").alias("column_ref"), n.alias("null_count"), tot.alias("total_rows"),
+            rate.alias("null_rate")]
+        items.append(F.struct(*fields))
+    return F.array(*items)
+
+
 def status_tally(checks: DataFrame) -> DataFrame:
     """PASS/WARN/FAIL/ERROR counts, each status present even when zero."""
     a = checks.agg(*[count_where(F.col("status") == s).alias(s) for s in STATUSES])
