@@ -18,6 +18,10 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
          .config("spark.sql.adaptive.skewJoin.enabled", "true")
+         # Coalesce shuffle partitions by the advisory size (64 MB) instead of keeping
+         # default parallelism: Spark's recommended setting for shared clusters.
+         .config("spark.sql.adaptive.coalescePartitions.parallelismFirst",
+                 os.environ.get("LEDGERLENS_PARALLELISM_FIRST", "false"))
          .config("spark.sql.session.timeZone", "UTC")
          .config("spark.ui.enabled", "false")
          .config("spark.ui.showConsoleProgress", "false")
