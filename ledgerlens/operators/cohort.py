@@ -11,8 +11,9 @@ Plan notes:
 * The join side ``users`` is the dimension; no broadcast hint is forced — AQE
   turns the sort-merge join into a broadcast only when the measured size of
   the users side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-* The matrix is a ``pivot`` with the offsets 0..max_months given explicitly, so
-  Spark plans one conditional aggregate and no extra job to find pivot values.
+* The matrix is the pivot written as one conditional aggregate per cohort over
+  the per-user-month rows (offsets 0..max_months fixed), so it needs one shuffle
+  after the join instead of the three of ``groupBy().pivot()`` on the long form.
 * ``cohort_arpu`` and ``cohort_lifetime`` share one users ⟕ per-user-revenue pass.
 """
 
@@ -79,15 +80,17 @@ class CohortEngine:
     def cohort_revenue_matrix(self, max_months: int | None = None) -> DataFrame:
         """cohort_month, m0..mN: revenue by months since signup, 0 where a cohort had none.
 
-        Cohorts whose revenue all falls after month N are absent.
+        Cohorts whose revenue all falls after month N are absent. One conditional
+        aggregate per cohort over the per-user-month rows (the pivot written out):
+        each offset is one calendar month of the cohort, so a cell is the exact
+        decimal sum of that month, as in the long form.
         """
         n = self.params.max_months if max_months is None else max_months
-        long = self._cohort_revenue_long().where(F.col("months_since_signup") <= n)
-        wide = (long.groupBy("cohort_month")
-                .pivot("months_since_signup", list(range(n + 1)))
-                .agg(F.sum("revenue")))
-        cols = [F.coalesce(F.col(str(k)), F.lit(0.0)).alias(f"m{k}") for k in range(n + 1)]
-        return wide.select("cohort_month", *cols).orderBy("cohort_month")
+        rows = self._cohort_month_rows().where(F.col("months_since_signup") <= n)
+        off = F.col("months_since_signup")
+        cells = [F.coalesce(F.sum(F.when(off == k, F.col("rev"))), F.lit(0)).cast("double").alias(f"m{k}")
+                 for k in range(n + 1)]
+        return rows.groupBy("cohort_month").agg(*cells).orderBy("cohort_month")
 
     def cohort_retention(self, max_months: int | None = None) -> DataFrame:
         """Each cell as % of the cohort's month-0 revenue (half-even, 2 dp); all NULL when m0 is 0."""

@@ -45,7 +45,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
-        spark.conf.set(CHECKPOINT_CONF, d)
+        try:
+            spark.conf.set(CHECKPOINT_CONF, d)
+        except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
+            pass
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d

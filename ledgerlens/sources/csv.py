@@ -47,3 +47,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     out = df.coalesce(1) if single_file else df
     out.write.mode(mode).option("header", True).option("nullValue", "").csv(path)
     return path
+
+
+def save_datasets(frames: dict[str, DataFrame], out_dir: str) -> dict[str, str]:
+    """Every frame as ``<out_dir>/<name>.csv`` (a folder of part files, written in parallel)."""
+    return {name: write_csv(df, f"{out_dir.rstrip('/')}/{name}.csv") for name, df in frames.items()}

@@ -85,6 +85,11 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     w.parquet(table_path(root, name))
 
 
+def truncate_table(spark: SparkSession, root: str, name: str) -> None:
+    """Empty one stored table (an overwrite with no rows, schema kept)."""
+    spark.createDataFrame([], TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(table_path(root, name))
+
+
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
     """True when a readable Parquet table is stored at root/name."""
     try:
