@@ -58,10 +58,6 @@ def month_offset(d: ColumnOrName, cohort_month: ColumnOrName) -> Column:
             + (F.month(_c(d)) - F.substring(cm, 6, 2).try_cast("int")))
 
 
-def is_status(status: str, col: ColumnOrName = "status") -> Column:
-    return _c(col) == F.lit(status)
-
-
 def count_where(cond: Column) -> Column:
     """COUNT(*) FILTER (WHERE cond) — NULL conditions are not counted."""
     return F.count_if(cond)

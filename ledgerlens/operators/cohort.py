@@ -27,10 +27,6 @@ from ledgerlens.params import Params
 from ledgerlens.sources.tables import Tables
 
 
-def matrix_columns(max_months: int) -> list[str]:
-    return [f"m{k}" for k in range(max_months + 1)]
-
-
 class CohortEngine:
     def __init__(self, tables: Tables, params: Params | None = None):
         self.t = tables

@@ -2,8 +2,11 @@
 
 Stored layout (one folder per table under a root path, Parquet):
 
-* ``payments`` and ``payment_failures`` can be written partitioned by month so
-  that date-bounded queries prune files; the analytical operators never need it.
+* ``write_table(..., partition_by=[...])`` can lay a table out by a column (e.g. a
+  month) so that date-bounded reads prune files; the operators do not need it.
+* No bucketing by ``user_id``: with one user able to hold a third of all payments,
+  that bucket would be one task's third of the table. Map-side pre-aggregation
+  before each shuffle keeps hot users cheap instead.
 * Writes are whole-table overwrite (full refresh) or append, one Spark job each;
   a failed job leaves the previous snapshot readable (Parquet commit protocol).
 """
@@ -11,7 +14,6 @@ Stored layout (one folder per table under a root path, Parquet):
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
 
@@ -124,11 +126,3 @@ def reset_tables(spark: SparkSession, root: str) -> None:
         spark.createDataFrame([], TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(
             table_path(root, name))
 
-
-def empty_tables(spark: SparkSession) -> Tables:
-    return Tables(**{n: spark.createDataFrame([], s) for n, s in TABLE_SCHEMAS.items()})
-
-
-def with_month_partition(df: DataFrame, date_col: str) -> DataFrame:
-    """Adds a ``month`` partition column (YYYY-MM) for partitioned writes."""
-    return df.withColumn("month", F.date_format(F.col(date_col), "yyyy-MM"))

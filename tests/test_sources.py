@@ -44,3 +44,21 @@ def test_load_overwrite_then_append(spark, tmp_path):
 def test_unknown_table(spark, tmp_path):
     with pytest.raises(KeyError):
         read_table(spark, str(tmp_path), "nope")
+
+
+def test_truncate_save_and_views(spark, tmp_path):
+    from ledgerlens.operators.checks import Validator, scalar
+    from ledgerlens.sources.csv import read_csv, save_datasets
+    from ledgerlens.sources.tables import truncate_table
+
+    t = make_tables(spark, users=[user(1, "2024-01-01")], payments=[pay(1, 1, "2024-01-02", 5)])
+    root = str(tmp_path / "store")
+    write_table(t.payments, root, "payments")
+    truncate_table(spark, root, "payments")
+    assert read_table(spark, root, "payments").count() == 0
+    paths = save_datasets(t.as_dict(), str(tmp_path / "csv"))
+    assert read_csv(spark, paths["users"], table="users").count() == 1
+    t.register_views()
+    assert spark.sql("SELECT COUNT(*) FROM payments").first()[0] == 1
+    assert scalar(Validator(t).orphan_count(), "orphan_payments") == 0
+    assert scalar(Validator(t).orphan_count(), "missing") is None
