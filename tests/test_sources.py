@@ -62,3 +62,19 @@ def test_truncate_save_and_views(spark, tmp_path):
     assert spark.sql("SELECT COUNT(*) FROM payments").first()[0] == 1
     assert scalar(Validator(t).orphan_count(), "orphan_payments") == 0
     assert scalar(Validator(t).orphan_count(), "missing") is None
+
+
+def test_cluster_conf_applies(spark):
+    from ledgerlens.session import CLUSTER_SQL_CONF, apply_cluster_conf
+
+    before = {k: spark.conf.get(k, None) for k in CLUSTER_SQL_CONF}
+    try:
+        apply_cluster_conf(spark, {"spark.sql.shuffle.partitions": "16"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "16"
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(512 << 20)
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
