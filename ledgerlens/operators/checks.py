@@ -360,6 +360,12 @@ class Validator:
     def quality_report(self) -> DataFrame:
         return self.run_all().select(*CHECK_COLUMNS)
 
+    def export_quality_report(self, out_dir: str) -> str:
+        """The check rows (five columns, no detail) as ``quality_report.csv``."""
+        from ledgerlens.sources.reports import export_quality_report
+
+        return export_quality_report(self, out_dir)
+
 
 def _null_counts(table: str) -> list[Column]:
     return [count_where(F.col(c).isNull()).alias(f"n_{table}_{c}") for t, c in NULL_SCAN_COLUMNS if t == table]

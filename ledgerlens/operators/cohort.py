@@ -132,3 +132,10 @@ class CohortEngine:
                          money("rev").alias("lifetime_revenue"),
                          F.col("total_transactions").cast("bigint").alias("total_transactions"))
                 .orderBy("cohort_month"))
+
+    # -- S15 -----------------------------------------------------------------------
+    def export_cohort_report(self, out_dir: str) -> str:
+        """Cohort ARPU as ``cohort_report.csv`` under ``out_dir``."""
+        from ledgerlens.sources.reports import export_cohort_report
+
+        return export_cohort_report(self, out_dir)

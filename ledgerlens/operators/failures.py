@@ -270,3 +270,10 @@ class FailureMonitor:
                                 F.sum("recovered_count").cast("bigint").alias("recovered"))
                 .unionByName(r["summary"].agg(F.lit("summary").alias("part"), F.count(F.lit(1)).alias("rows"),
                                               F.sum("recovered").cast("bigint").alias("recovered"))))
+
+    # -- S16 -----------------------------------------------------------------------
+    def export_full_report(self, out_dir: str) -> tuple[str, str]:
+        """Failure monitor and retry summary as two CSVs under ``out_dir``."""
+        from ledgerlens.sources.reports import export_full_report
+
+        return export_full_report(self, out_dir)

@@ -166,7 +166,14 @@ class MetricsEngine:
             F.coalesce(pct("failed_transactions", "total_transactions"), F.lit(0.0)).alias("overall_failure_pct"),
         )
 
-    # -- Q1 ------------------------------------------------------------------------
+    # -- S14 -----------------------------------------------------------------------
+    def export_revenue_report(self, out_dir: str) -> str:
+        """Monthly revenue as ``revenue_report.csv`` under ``out_dir``."""
+        from ledgerlens.sources.reports import export_revenue_report
+
+        return export_revenue_report(self, out_dir)
+
+    # -- Q1 (stand-alone report) ----------------------------------------------------
     def sql_arpu(self) -> DataFrame:
         """Stand-alone ARPU report: M1 plus transaction count and average value (no zero-fill)."""
         agg = self._success().agg(F.sum("amount").alias("rev"),

@@ -78,3 +78,28 @@ def test_cluster_conf_applies(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_engine_exports(spark, tmp_path):
+    from ledgerlens.operators.checks import Validator
+    from ledgerlens.operators.cohort import CohortEngine
+    from ledgerlens.operators.failures import FailureMonitor
+    from ledgerlens.operators.metrics import MetricsEngine
+    from ledgerlens.params import FIXTURE_PARAMS
+    from ledgerlens.sources.reports import read_report
+
+    t = bind(spark, SF_SMALL)
+    out = str(tmp_path / "reports")
+    m = MetricsEngine(t, FIXTURE_PARAMS)
+    assert read_report(spark, m.export_revenue_report(out), m.monthly_revenue().schema).count() == 80
+    c = CohortEngine(t, FIXTURE_PARAMS)
+    assert read_report(spark, c.export_cohort_report(out), c.cohort_arpu().schema).count() == 24
+    f = FailureMonitor(t, FIXTURE_PARAMS)
+    a, b = f.export_full_report(out)
+    assert read_report(spark, b, f.retry_summary().schema).count() == 4
+    v = Validator(t, FIXTURE_PARAMS)
+    rows = read_report(spark, v.export_quality_report(out), v.quality_report().schema).collect()
+    assert [r.check_name for r in rows] == list(Validator.CHECK_ORDER)
+    header = open([p for p in (tmp_path / "reports" / "quality_report.csv").iterdir()
+                   if p.name.endswith(".csv")][0]).readline().strip()
+    assert header == "check_name,status,message,metric,threshold"
