@@ -48,3 +48,18 @@ def test_pushdown_and_pruning_on_stored_tables(spark, tmp_path):
     p = plan(MetricsEngine(stored).monthly_revenue())
     assert "PushedFilters: [IsNotNull(status), EqualTo(status,success)]" in p
     assert "ReadSchema: struct<user_id:bigint,payment_date:date,amount:decimal(18,2),status:string>" in p
+
+
+def test_no_collect_in_library_code():
+    """Library code never pulls a data set to the driver; the only driver reads are
+    one-row results (`first()` in the check isolation helper and `scalar`)."""
+    import pathlib
+    import re
+
+    root = pathlib.Path(__file__).resolve().parents[1] / "ledgerlens"
+    offenders = []
+    for p in root.rglob("*.py"):
+        for i, line in enumerate(p.read_text().splitlines(), 1):
+            if re.search(r"\.(collect|toPandas|take|toLocalIterator)\(", line):
+                offenders.append(f"{p.name}:{i}")
+    assert offenders == []
