@@ -6,10 +6,15 @@ over one scan each) and runs one operator over them whole.
 
 from __future__ import annotations
 
+import datetime as _dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from ledgerlens.operators.checks import Validator
+from ledgerlens.operators.cohort import CohortEngine
+from ledgerlens.operators.failures import FailureMonitor
 from ledgerlens.operators.metrics import MetricsEngine
 from ledgerlens.params import FIXTURE_PARAMS
 from ledgerlens.sources.binding import bind
@@ -49,8 +54,6 @@ _reg("sql_revenue_growth", _metrics("revenue_growth"))
 
 
 def _failures(method: str, **kw) -> QueryFn:
-    from ledgerlens.operators.failures import FailureMonitor
-
     return lambda spark, d: getattr(FailureMonitor(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
@@ -63,8 +66,6 @@ _reg("retry_analysis", _failures("retry_analysis_summary"))
 
 
 def _cohort(method: str, **kw) -> QueryFn:
-    from ledgerlens.operators.cohort import CohortEngine
-
     return lambda spark, d: getattr(CohortEngine(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
@@ -75,8 +76,6 @@ _reg("heatmap_long", _cohort("cohort_heatmap_long"))
 
 
 def _checks(method: str, **kw) -> QueryFn:
-    from ledgerlens.operators.checks import Validator
-
     return lambda spark, d: getattr(Validator(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
 
@@ -153,9 +152,6 @@ def _etl(fn_name: str, *tables: str, **kw) -> QueryFn:
 
 def _export(which: str) -> QueryFn:
     def q(spark, d):
-        from ledgerlens.operators.checks import Validator
-        from ledgerlens.operators.cohort import CohortEngine
-        from ledgerlens.operators.failures import FailureMonitor
         from ledgerlens.sources import reports
 
         t, out = bound(spark, d), _scratch(spark, "reports")
@@ -177,10 +173,6 @@ def _export(which: str) -> QueryFn:
     return q
 
 
-import datetime as _dt  # noqa: E402
-
-from pyspark.sql import functions as F  # noqa: E402
-
 _reg("src_csv", q_src_csv)
 _reg("src_table", q_src_table)
 _reg("load_table", q_load_table)
@@ -202,10 +194,6 @@ _reg("export_quality_report", _export("quality"))
 # ---------------------------------------------------------------- dashboard data preparation
 def _view(build) -> QueryFn:
     def q(spark, d):
-        from ledgerlens.operators.checks import Validator
-        from ledgerlens.operators.cohort import CohortEngine
-        from ledgerlens.operators.failures import FailureMonitor
-
         t = bound(spark, d)
         engines = {"m": MetricsEngine(t, FIXTURE_PARAMS), "c": CohortEngine(t, FIXTURE_PARAMS),
                    "f": FailureMonitor(t, FIXTURE_PARAMS), "v": Validator(t, FIXTURE_PARAMS)}
