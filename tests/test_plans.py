@@ -63,3 +63,39 @@ def test_no_collect_in_library_code():
             if re.search(r"\.(collect|toPandas|take|toLocalIterator)\(", line):
                 offenders.append(f"{p.name}:{i}")
     assert offenders == []
+
+
+def _aggregated_before_join(df) -> bool:
+    """In the optimized plan, every scan of the payments/failures source (orders under the
+    binding) reaches its first Join ancestor through an Aggregate grouped by user_id."""
+    lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+
+    def depth(ln: str) -> int:
+        return ln.find("+- ") if "+- " in ln else -1
+
+    scans = [i for i, ln in enumerate(lines) if "Relation [o_orderkey" in ln]
+    assert scans
+    for i in scans:
+        d, pre_aggregated = depth(lines[i]), False
+        for ln in reversed(lines[:i]):
+            if depth(ln) < d:                   # the parent of the current node
+                d = depth(ln)
+                if "Aggregate [" in ln and "user_id" in ln.split("], [")[0]:
+                    pre_aggregated = True
+                if "Join " in ln:
+                    if not pre_aggregated:
+                        return False
+                    break
+    return True
+
+
+def test_pre_aggregation_before_user_joins(spark):
+    from ledgerlens.operators.cohort import CohortEngine
+
+    t = bind(spark, SF_SMALL)
+    c, f, v = CohortEngine(t), FailureMonitor(t, FIXTURE_PARAMS), Validator(t, FIXTURE_PARAMS)
+    for df in (c.cohort_revenue_raw(), c.cohort_revenue_matrix(), c.cohort_lifetime(), f.revenue_leakage(),
+               v.payments_user_links()):
+        assert _aggregated_before_join(df)
+    # Negative control: a join of raw payments is caught.
+    assert not _aggregated_before_join(t.payments.join(t.users, "user_id").groupBy("cohort_month").count())
