@@ -1,5 +1,7 @@
 """Plan assertions: no Python UDFs, anti-joins, scans per table, pushdown on stored tables."""
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
@@ -65,13 +67,17 @@ def test_no_collect_in_library_code():
     assert offenders == []
 
 
+
+
+
 def _aggregated_before_join(df) -> bool:
     """In the optimized plan, every scan of the payments/failures source (orders under the
     binding) reaches its first Join ancestor through an Aggregate grouped by user_id."""
     lines = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
 
     def depth(ln: str) -> int:
-        return ln.find("+- ") if "+- " in ln else -1
+        m = re.search(r"[+:]- ", ln)
+        return m.start() if m else -1
 
     scans = [i for i, ln in enumerate(lines) if "Relation [o_orderkey" in ln]
     assert scans
