@@ -11,7 +11,9 @@ Plan notes:
   list for duplicate groups only. Keys compare NULL-safe (NULL user = NULL user),
   as SQL GROUP BY does.
 * Stale pendings (F6) are a LEFT ANTI join (not LEFT JOIN + IS NULL, which
-  Spark would keep as an outer join plus filter).
+  Spark would keep as an outer join plus filter) against events first reduced
+  by a LEFT SEMI join to the pending ids, so the event table is never shuffled
+  whole when the pending set is small.
 * Leakage by cohort (F7) pre-aggregates failures per (user, gateway) before the
   join to ``users``, so a user with very many failures is one row at the join.
 * Gateway health (F10) joins two per-gateway aggregates; both sides are already
@@ -155,8 +157,12 @@ class FailureMonitor:
         keeps only payments at least that many days old.
         """
         as_of = F.lit(self.params.require_as_of().date())
-        ev = self.t.revenue_events.where(F.col("event_id").isNotNull()).select("payment_id")
         pend = self.t.payments.where(F.col("status") == "pending")
+        # Events are first cut down to those of pending payments (a semi join against
+        # the pending ids, which AQE broadcasts when they are few), so the large event
+        # table is filtered where it is scanned instead of shuffled whole for the anti join.
+        ev = (self.t.revenue_events.where(F.col("event_id").isNotNull()).select("payment_id")
+              .join(pend.select("payment_id"), "payment_id", "left_semi"))
         out = (pend.join(ev, "payment_id", "left_anti")
                .select("payment_id", "user_id", "payment_date", money("amount").alias("amount"),
                        "gateway", "status", days_between(as_of, "payment_date").alias("days_stale")))
