@@ -214,3 +214,25 @@ def test_run_all_isolated_reports_error_rows(spark):
     out = {r.check_name: r for r in Validator(broken, AS_OF).run_all_isolated(spark).collect()}
     assert out["validate_revenue"].status == "ERROR"
     assert out["validate_cohort"].status in ("PASS", "WARN", "FAIL")
+
+
+def test_retry_events_skip_bad_dates(spark):
+    from ledgerlens.sources.etl import retry_success_events
+
+    pf = spark.createDataFrame(
+        [("1", 1, "2024-01-05"), ("2", 1, "not-a-date"), ("3", 0, "2024-01-06"), ("4", 1, None)],
+        "payment_id string, recovered int, recovery_date string")
+    rows = retry_success_events(pf).collect()
+    assert [(r.payment_id, r.event_type, r.event_time) for r in rows] == [
+        ("1", "retry_success", dt.datetime(2024, 1, 5))]
+
+
+def test_derived_failures_keep_known_users_only(spark):
+    from ledgerlens.sources.etl import derive_payment_failures
+
+    t = make_tables(spark, users=[user(1, "2024-01-01")],
+                    payments=[pay(1, 1, "2024-01-02", 5, status="failed", reason=None),
+                              pay(2, 9, "2024-01-02", 5, status="failed", reason="card_declined"),
+                              pay(3, 1, "2024-01-02", 5, status="success")])
+    rows = derive_payment_failures(t.payments, t.users).collect()
+    assert [(r.failure_id, r.failure_reason, r.recovered) for r in rows] == [("1", "unknown", 0)]
