@@ -68,15 +68,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     On a cluster the setting is read from the session and never overridden.
     Only where it is unset (local tests) a scratch folder is created and set.
     """
-    d = spark.conf.get(CHECKPOINT_CONF, None) or spark.sparkContext.getCheckpointDir()
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext handle (e.g. a remote session)
+        sc = None
+    d = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not d:
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_CONF, d)
         except Exception:  # noqa: BLE001 - some sessions reject core confs at runtime
             pass
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(d)
+    if sc is not None and not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return d
 
 

@@ -14,8 +14,14 @@ from ledgerlens.schema import TABLE_SCHEMAS
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    """Path existence through the Hadoop file system of the session (any scheme)."""
+    try:
+        jvm = spark.sparkContext._jvm
+        conf = spark.sparkContext._jsc.hadoopConfiguration()
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): local paths only
+        import os
+
+        return os.path.exists(path.removeprefix("file:"))
     p = jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(conf).exists(p)
 
