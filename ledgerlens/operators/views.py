@@ -20,6 +20,14 @@ from ledgerlens.operators.checks import STATUSES, status_tally
 # Fixed values that must equal the reference's display labels.
 GATEWAY_REVENUE_LABELS = {"gateway": "Gateway", "revenue": "Revenue (₹)", "transactions": "Transactions",
                           "unique_payers": "Unique Payers", "avg_transaction": "Avg Txn (₹)"}
+COHORT_LIFETIME_LABELS = {"cohort_month": "Cohort", "cohort_size": "Users", "paying_users": "Paying",
+                          "lifetime_revenue": "Lifetime Rev (₹)", "total_transactions": "Transactions"}
+FAILURE_MONITOR_LABELS = {"gateway": "Gateway", "failure_reason": "Reason", "failure_count": "Count",
+                          "revenue_at_risk": "At Risk (₹)", "recovered_count": "Recovered",
+                          "recovery_rate_pct": "Recovery %", "net_revenue_lost": "Net Lost (₹)"}
+DUPLICATE_LABELS = {"user_id": "User", "payment_date": "Date", "amount": "Amount (₹)", "gateway": "Gateway",
+                    "duplicate_count": "Dupes"}
+NULL_SCAN_LABELS = {"column_ref": "Column", "null_count": "Nulls", "total_rows": "Total", "null_pct": "Null %"}
 CHECK_DISPLAY_LABELS = {"check_name": "Check", "status": "Status", "metric": "Metric",
                         "threshold": "Threshold", "message": "Message"}
 RATE_SERIES = (("success_rate_pct", "Success %"), ("failure_rate_pct", "Failure %"))

@@ -217,6 +217,13 @@ def _views():
         "duplicates_top15": lambda f, **_: V.head(f.duplicate_transactions(), 15),
         "gateway_revenue_display": lambda m, **_: V.rename_for_display(m.revenue_by_gateway(),
                                                                        V.GATEWAY_REVENUE_LABELS),
+        "cohort_lifetime_display": lambda c, **_: V.rename_for_display(c.cohort_lifetime(),
+                                                                       V.COHORT_LIFETIME_LABELS),
+        "failure_monitor_display": lambda f, **_: V.rename_for_display(f.failure_monitor(),
+                                                                       V.FAILURE_MONITOR_LABELS),
+        "duplicates_display": lambda f, **_: V.rename_for_display(V.head(f.duplicate_transactions(), 15),
+                                                                  V.DUPLICATE_LABELS),
+        "null_scan_display": lambda v, **_: V.rename_for_display(V.null_pct(v.null_scan()), V.NULL_SCAN_LABELS),
         "fmt_inr": lambda m, **_: V.with_inr(m.daily_revenue_trend(), "daily_revenue"),
         "fmt_pct": lambda m, **_: V.with_pct_text(m.gateway_success_pct(), "success_pct"),
         "retention_display": lambda c, **_: V.retention_display(c.cohort_retention()),
