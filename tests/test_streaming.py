@@ -26,3 +26,19 @@ def test_daily_revenue_stream_matches_batch(spark, tmp_path):
     # Every day before the last arrival's watermark is final and present.
     last = max(batch)
     assert sum(1 for d in batch if (last - d).days > 3) <= len(got)
+
+
+def test_failure_trend_stream_matches_batch(spark, tmp_path):
+    from ledgerlens.operators.failures import FailureMonitor
+
+    t = bind(spark, SF_SMALL)
+    pf = t.payment_failures
+    src = str(tmp_path / "failures")
+    pf.where(F.year("failure_date") < 1999).write.parquet(src, mode="append")
+    pf.where(F.year("failure_date") >= 1999).write.parquet(src, mode="append")
+    q = start_refresh(spark, src, pf.schema, str(tmp_path / "out"), str(tmp_path / "ckpt"),
+                      view="failure_trend", delay="3 days", available_now=True, max_files_per_trigger=1)
+    q.awaitTermination(300)
+    got = {r.failure_date: tuple(r)[1:] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    batch = {r.failure_date: tuple(r)[1:] for r in FailureMonitor(t).failure_trend().collect()}
+    assert got and all(batch[d] == v for d, v in got.items())
