@@ -130,6 +130,17 @@ def with_pct_text(df: DataFrame, value: str, out: str | None = None) -> DataFram
     return df.withColumn(out or f"{value}_text", fmt_pct(value))
 
 
+def kpi_header(summary: DataFrame) -> DataFrame:
+    """The five header figures as display text: revenue and ARPU in ₹ lakh/crore,
+    counts with thousands separators, failure rate as x.x%."""
+    return summary.select(
+        fmt_inr("total_revenue").alias("total_revenue"),
+        fmt_inr("arpu").alias("arpu"),
+        F.format_number(F.col("active_paying_users"), 0).alias("paying_users"),
+        F.format_number(F.col("total_transactions"), 0).alias("total_transactions"),
+        fmt_pct("overall_failure_pct").alias("failure_rate"))
+
+
 def retention_display(retention: DataFrame) -> DataFrame:
     cells = [c for c in retention.columns if c != "cohort_month"]
     return retention.select("cohort_month", *[pct_or_dash(c).alias(c) for c in cells])
@@ -153,7 +164,7 @@ def collected_vs_lost(health: DataFrame) -> DataFrame:
 
 __all__ = [
     "DASH", "STATUSES", "check_line", "checks_display", "collected_vs_lost", "gateway_rate_long",
-    "gateway_revenue_share", "growth_clean", "head", "null_pct", "reason_loss_share",
+    "gateway_revenue_share", "growth_clean", "head", "kpi_header", "null_pct", "reason_loss_share",
     "rename_for_display", "retention_display", "share_of_total", "status_counts", "tail_by",
     "with_inr", "with_pct_text", "worst_status",
 ]

@@ -224,6 +224,7 @@ def _views():
         "duplicates_display": lambda f, **_: V.rename_for_display(V.head(f.duplicate_transactions(), 15),
                                                                   V.DUPLICATE_LABELS),
         "null_scan_display": lambda v, **_: V.rename_for_display(V.null_pct(v.null_scan()), V.NULL_SCAN_LABELS),
+        "kpi_header": lambda m, **_: V.kpi_header(m.top_summary()),
         "fmt_inr": lambda m, **_: V.with_inr(m.daily_revenue_trend(), "daily_revenue"),
         "fmt_pct": lambda m, **_: V.with_pct_text(m.gateway_success_pct(), "success_pct"),
         "retention_display": lambda c, **_: V.retention_display(c.cohort_retention()),
