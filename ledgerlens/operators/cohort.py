@@ -43,20 +43,23 @@ class CohortEngine:
 
     # -- C2 / Q2 / C7 ------------------------------------------------------------------
     def _cohort_month_rows(self) -> DataFrame:
-        """(cohort_month, revenue_month, months_since_signup, user_id, rev) with offset ≥ 0."""
+        """(cohort_month, month_start, months_since_signup, user_id, rev) with offset ≥ 0."""
         per_user_month = (self._success()
                           .groupBy("user_id", F.trunc("payment_date", "month").alias("month_start"))
                           .agg(F.sum("amount").alias("rev")))
         j = per_user_month.join(self.t.users.select("user_id", "cohort_month"), "user_id")
         off = month_offset("month_start", "cohort_month")
-        return (j.select("cohort_month", month_key("month_start").alias("revenue_month"),
-                         off.alias("months_since_signup"), "user_id", "rev")
+        return (j.select("cohort_month", "month_start", off.alias("months_since_signup"), "user_id", "rev")
                 .where(F.col("months_since_signup") >= 0))
 
     def _cohort_revenue_long(self, by_calendar_month: bool = True) -> DataFrame:
-        keys = ["cohort_month"] + (["revenue_month"] if by_calendar_month else []) + ["months_since_signup"]
-        return (self._cohort_month_rows().groupBy(*keys)
-                .agg(F.count(F.lit(1)).alias("paying_users"), money(F.sum("rev")).alias("revenue")))
+        # The calendar month is grouped as a date and formatted after the aggregate.
+        keys = ["cohort_month"] + (["month_start"] if by_calendar_month else []) + ["months_since_signup"]
+        g = (self._cohort_month_rows().groupBy(*keys)
+             .agg(F.count(F.lit(1)).alias("paying_users"), money(F.sum("rev")).alias("revenue")))
+        if by_calendar_month:
+            g = g.withColumn("revenue_month", month_key("month_start")).drop("month_start")
+        return g
 
     def cohort_revenue_raw(self) -> DataFrame:
         return (self._cohort_revenue_long()

@@ -47,19 +47,23 @@ class MetricsEngine:
 
     # -- M2 ------------------------------------------------------------------------
     def monthly_revenue(self) -> DataFrame:
+        # Grouped on the month's first day (a 4-byte date); the YYYY-MM text is
+        # formatted once per result row instead of once per payment.
         return (self._success()
-                .groupBy(month_key("payment_date").alias("month"))
+                .groupBy(F.trunc("payment_date", "month").alias("m"))
                 .agg(money(F.sum("amount")).alias("revenue"),
                      F.count(F.lit(1)).alias("transactions"),
                      F.countDistinct("user_id").alias("unique_payers"))
+                .select(month_key("m").alias("month"), "revenue", "transactions", "unique_payers")
                 .orderBy("month"))
 
     # -- M3 / Q4 ---------------------------------------------------------------------
     def revenue_growth(self) -> DataFrame:
         """Growth % against the previous month's (rounded) revenue; NULL after a 0 or first month."""
         monthly = (self._success()
-                   .groupBy(month_key("payment_date").alias("month"))
-                   .agg(money(F.sum("amount")).alias("revenue")))
+                   .groupBy(F.trunc("payment_date", "month").alias("m"))
+                   .agg(money(F.sum("amount")).alias("revenue"))
+                   .select(month_key("m").alias("month"), "revenue"))
         prev = F.lag("revenue").over(Window.orderBy("month"))
         with_prev = monthly.select("month", "revenue", prev.alias("prev_revenue"))
         p = F.col("prev_revenue")
