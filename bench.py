@@ -33,22 +33,29 @@ def main() -> None:
 
     spark = local_session(cores=cpus, shuffle_partitions=int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")))
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
     for k in keys:
         fn = QUERIES[k]
         runs = []
-        for i in range(repeat + 1):
-            t0 = time.perf_counter()
-            fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
-            if i:  # first run is the warm-up
-                runs.append(time.perf_counter() - t0)
-        times[k] = round(statistics.median(runs), 4)
+        try:
+            for i in range(repeat + 1):
+                t0 = time.perf_counter()
+                fn(spark, sf_dir).write.format("noop").mode("overwrite").save()
+                if i:  # first run is the warm-up
+                    runs.append(time.perf_counter() - t0)
+            times[k] = round(statistics.median(runs), 4)
+        except Exception as exc:  # noqa: BLE001 - report the failure, keep benchmarking the rest
+            errors[k] = f"{type(exc).__name__}: {str(exc)[:200]}"
     sf = os.path.basename(sf_dir).removeprefix("sf")
     try:
         sf_val: float | str = float(sf)
     except ValueError:
         sf_val = sf
-    print(json.dumps({"metric": "headline_total_median_sec", "value": round(sum(times.values()), 4),
-                      "unit": "sec", "queries": times, "sf": sf_val, "cpus": cpus, "repeat": repeat}))
+    out = {"metric": "headline_total_median_sec", "value": round(sum(times.values()), 4),
+           "unit": "sec", "queries": times, "sf": sf_val, "cpus": cpus, "repeat": repeat}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
     spark.stop()
 
 
