@@ -87,6 +87,14 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     w.parquet(table_path(root, name))
 
 
+def write_tables(tables: Tables, root: str, mode: str = "overwrite",
+                 partition_by: dict[str, list[str]] | None = None) -> None:
+    """Store all five tables under ``root`` in load order (parents first), one parallel
+    Parquet write per table; ``partition_by`` maps a table name to its partition columns."""
+    for name in TABLE_NAMES:
+        write_table(getattr(tables, name), root, name, mode=mode, partition_by=(partition_by or {}).get(name))
+
+
 def truncate_table(spark: SparkSession, root: str, name: str) -> None:
     """Empty one stored table (an overwrite with no rows, schema kept)."""
     spark.createDataFrame([], TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(table_path(root, name))

@@ -11,7 +11,7 @@ from ledgerlens.operators.failures import FailureMonitor
 from ledgerlens.operators.metrics import MetricsEngine
 from ledgerlens.params import FIXTURE_PARAMS
 from ledgerlens.sources.binding import bind
-from ledgerlens.sources.tables import read_tables, write_table
+from ledgerlens.sources.tables import read_tables, write_table, write_tables
 
 PLAIN = sorted(k for k in entry.queries() if not k.startswith(("export_", "load_", "src_")))
 
@@ -36,8 +36,7 @@ def test_anti_joins(spark):
 
 def test_null_scan_reads_each_table_once(spark, tmp_path):
     root = str(tmp_path / "store")
-    for name, df in bind(spark, SF_SMALL).as_dict().items():
-        write_table(df, root, name)
+    write_tables(bind(spark, SF_SMALL), root)
     stored = read_tables(spark, root)
     p = Validator(stored).null_scan()._jdf.queryExecution().optimizedPlan().toString()
     assert p.count("Relation ") == 3     # users, payments, payment_failures — not ten scans

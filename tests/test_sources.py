@@ -10,7 +10,7 @@ from ledgerlens.sources.binding import bind
 from ledgerlens.sources.csv import write_csv
 from ledgerlens.sources.etl import load_table, post_load_counts, validate_load
 from ledgerlens.sources.tables import (create_tables, read_table, read_tables, reset_tables, verify_tables,
-                                       write_table)
+                                       write_table, write_tables)
 
 
 def test_create_verify_reset(spark, tmp_path):
@@ -103,3 +103,19 @@ def test_engine_exports(spark, tmp_path):
     header = open([p for p in (tmp_path / "reports" / "quality_report.csv").iterdir()
                    if p.name.endswith(".csv")][0]).readline().strip()
     assert header == "check_name,status,message,metric,threshold"
+
+
+def test_write_tables_partitioned(spark, tmp_path):
+    from ledgerlens.operators.metrics import MetricsEngine
+
+    t = bind(spark, SF_SMALL)
+    pay = t.payments.withColumn("pay_month", F.date_format("payment_date", "yyyy-MM"))
+    root = str(tmp_path / "store")
+    write_tables(t.replace(payments=pay), root, partition_by={"payments": ["pay_month"]})
+    stored = read_tables(spark, root)
+    assert {r.table_name: r.row_count for r in post_load_counts(stored).collect()}["payments"] == 15300
+    # A month filter prunes partitions at the scan.
+    plan = stored.payments.where("pay_month = '1996-03'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(pay_month" in plan
+    rev = MetricsEngine(stored).arpu().first().total_revenue
+    assert round(rev, 2) == 2815477243.63

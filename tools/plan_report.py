@@ -44,12 +44,11 @@ def main() -> None:
     from ledgerlens.plans import registry
     from ledgerlens.session import local_session, scratch_path
     from ledgerlens.sources.binding import bind
-    from ledgerlens.sources.tables import read_tables, write_table
+    from ledgerlens.sources.tables import read_tables, write_tables
 
     spark = local_session()
     root = scratch_path(spark, "plan-report-store")
-    for name, df in bind(spark, a.sf).as_dict().items():
-        write_table(df, root, name)
+    write_tables(bind(spark, a.sf), root)
     # Seed the per-session binding memo so every registered query reads the stored tables.
     registry._BOUND[(id(spark), a.sf.rstrip("/"))] = (spark, read_tables(spark, root))
     keys = a.keys or [k for k in registry.QUERIES if not k.startswith(SKIP)]
