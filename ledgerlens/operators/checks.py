@@ -32,7 +32,7 @@ from ledgerlens.functions.expr import count_where, month_key, pct, py_str_2dp, r
 from ledgerlens.functions.fmt import fixed, fixed_commas
 from ledgerlens.operators.failures import FINGERPRINT, duplicate_groups
 from ledgerlens.params import Params
-from ledgerlens.sources.tables import Tables
+from ledgerlens.sources.tables import Tables, as_tables
 
 CHECK_COLUMNS = ("check_name", "status", "message", "metric", "threshold")
 STATUSES = ("PASS", "WARN", "FAIL", "ERROR")
@@ -87,8 +87,8 @@ def _pick(*branches: tuple[Column, Column], otherwise: Column) -> Column:
 
 
 class Validator:
-    def __init__(self, tables: Tables, params: Params | None = None):
-        self.t = tables
+    def __init__(self, tables: Tables | dict[str, DataFrame], params: Params | None = None):
+        self.t = as_tables(tables)
         self.params = params or Params()
 
     # -- the five aggregate passes --------------------------------------------------------

@@ -24,12 +24,12 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import month_key, month_offset, money, pct, r2, r2_even, ratio
 from ledgerlens.params import Params
-from ledgerlens.sources.tables import Tables
+from ledgerlens.sources.tables import Tables, as_tables
 
 
 class CohortEngine:
-    def __init__(self, tables: Tables, params: Params | None = None):
-        self.t = tables
+    def __init__(self, tables: Tables | dict[str, DataFrame], params: Params | None = None):
+        self.t = as_tables(tables)
         self.params = params or Params()
 
     def _success(self) -> DataFrame:

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import count_where, days_between, money, pct, r2, ratio, sum_where
 from ledgerlens.params import Params
-from ledgerlens.sources.tables import Tables
+from ledgerlens.sources.tables import Tables, as_tables
 
 FINGERPRINT = ("user_id", "payment_date", "amount")
 
@@ -83,8 +83,8 @@ def duplicate_groups(payments: DataFrame, with_gateway: bool = True) -> DataFram
 
 
 class FailureMonitor:
-    def __init__(self, tables: Tables, params: Params | None = None):
-        self.t = tables
+    def __init__(self, tables: Tables | dict[str, DataFrame], params: Params | None = None):
+        self.t = as_tables(tables)
         self.params = params or Params()
 
     # -- F1 / F2 -----------------------------------------------------------------------

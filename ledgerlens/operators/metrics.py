@@ -20,14 +20,14 @@ from pyspark.sql import functions as F
 
 from ledgerlens.functions.expr import count_where, money, month_key, pct, r2, ratio, sum_where
 from ledgerlens.params import Params
-from ledgerlens.sources.tables import Tables
+from ledgerlens.sources.tables import Tables, as_tables
 
 ALL_GATEWAYS = "ALL GATEWAYS"
 
 
 class MetricsEngine:
-    def __init__(self, tables: Tables, params: Params | None = None):
-        self.t = tables
+    def __init__(self, tables: Tables | dict[str, DataFrame], params: Params | None = None):
+        self.t = as_tables(tables)
         self.params = params or Params()
 
     # -- helpers -----------------------------------------------------------------

@@ -60,6 +60,15 @@ class Tables:
             df.createOrReplaceTempView(name)
 
 
+def as_tables(tables) -> Tables:
+    """A ``Tables`` bundle from a ``Tables`` or a ``dict`` name → DataFrame (or builder)."""
+    if isinstance(tables, Tables):
+        return tables
+    if isinstance(tables, dict):
+        return Tables(**tables)
+    raise TypeError(f"expected Tables or dict of the five tables, got {type(tables).__name__}")
+
+
 def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 

@@ -236,3 +236,10 @@ def test_derived_failures_keep_known_users_only(spark):
                               pay(3, 1, "2024-01-02", 5, status="success")])
     rows = derive_payment_failures(t.payments, t.users).collect()
     assert [(r.failure_id, r.failure_reason, r.recovered) for r in rows] == [("1", "unknown", 0)]
+
+
+def test_engines_accept_a_dict_of_tables(spark):
+    t = make_tables(spark, users=[user(1, "2024-01-01")], payments=[pay(1, 1, "2024-01-02", 5)])
+    assert one(MetricsEngine(t.as_dict()).arpu())["total_revenue"] == 5.0
+    with pytest.raises(TypeError):
+        MetricsEngine(42)
