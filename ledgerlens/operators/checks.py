@@ -46,11 +46,46 @@ NULL_SCAN_COLUMNS = (
     ("payment_failures", "failure_reason"), ("payment_failures", "gateway"),
 )
 CRITICAL_COLUMNS = ("users.user_id", "payments.payment_id", "payments.amount", "payments.status")
-MSG_NO_PAYERS = "No paying users — ARPU undefined."
-MSG_NO_DUPES = "No duplicate transactions detected."
-MSG_NO_SUCCESS = "No successful payments found in database."
-MSG_NO_ORPHANS = "No orphan payments — FK integrity intact."
-MSG_DEV_NOTE = "Normal in dev — data ends 2024-12-31."
+# Message templates: ``%s`` is filled per row by Spark (format_string), ``{name}`` from
+# Params on the driver; ``%%`` is a literal percent sign.
+MESSAGES = {
+    "arpu_no_payers": "No paying users — ARPU undefined.",
+    "arpu_low": "ARPU %s below minimum {min_arpu}.",
+    "arpu_ok": "ARPU=%s  paying_users=%s",
+    "revenue_zero": "Total revenue is %s — pipeline may be broken.",
+    "revenue_anomalies": "Revenue OK (%s) but %s non-positive, %s null amounts.",
+    "revenue_ok": "Total revenue = %s — clean.",
+    "cohort_fail": "%s null cohort months; %s pre-signup payments.",
+    "cohort_mismatch": "%s cohort_month values don't match signup_date.",
+    "cohort_ok": "%s cohorts — all valid, 0 pre-signup anomalies.",
+    "failure_fail": "Failure rate %s%% exceeds max {max_pct}%% (%s/%s).",
+    "failure_warn": "Failure rate %s%% approaching threshold.",
+    "failure_ok": "Failure rate %s%%  (%s/%s).",
+    "dupes_fail": "Duplicate rate %s exceeds max {max_rate} (%s groups, %s excess rows).",
+    "dupes_warn": "%s duplicate groups (%s excess rows) — rate %s within threshold.",
+    "dupes_ok": "No duplicate transactions detected.",
+    "nulls_fail": "Critical columns have NULLs: %s",
+    "nulls_warn": "%s column(s) exceed null threshold: %s",
+    "nulls_ok": "All %s scanned columns within null threshold.",
+    "fresh_none": "No successful payments found in database.",
+    "fresh_stale": "Latest payment %s is %s days old (SLA={sla}h). Normal in dev — data ends 2024-12-31.",
+    "fresh_ok": "Latest payment %s — %sh ago.",
+    "orphans_fail": "%s payments reference non-existent users.",
+    "orphans_ok": "No orphan payments — FK integrity intact.",
+}
+THRESHOLDS = {
+    "revenue": "> 0",
+    "revenue_anomalies": "no nulls/negatives",
+    "cohort": "no nulls / no pre-signup",
+    "cohort_mismatch": "zero mismatches",
+    "failure": "<= {max_pct}%",
+    "nulls_fail": "0 nulls in critical columns",
+    "nulls": "null_rate <= {max_null}",
+    "fresh_none": "within {sla}h",
+    "fresh": "within {sla}h of now",
+    "orphans": "0",
+}
+M, TH = MESSAGES, THRESHOLDS
 
 
 def _s(v) -> Column:
@@ -164,9 +199,9 @@ class Validator:
         payers = F.col("payers")
         low = arpu < F.lit(p.min_arpu)
         status = _pick((payers == 0, F.lit("WARN")), (low, F.lit("FAIL")), otherwise=F.lit("PASS"))
-        msg = _pick((payers == 0, F.lit(MSG_NO_PAYERS)),
-                    (low, F.format_string("ARPU %s below minimum %s.", _f2(arpu), _s(p.min_arpu))),
-                    otherwise=F.format_string("ARPU=%s  paying_users=%s", _comma2(arpu), _comma0(payers)))
+        msg = _pick((payers == 0, F.lit(M["arpu_no_payers"])),
+                    (low, F.format_string(M["arpu_low"].format(min_arpu=p.min_arpu), _f2(arpu))),
+                    otherwise=F.format_string(M["arpu_ok"], _comma2(arpu), _comma0(payers)))
         return status, msg, py_str_2dp(arpu), _s(p.min_arpu)
 
     def _rule_validate_revenue(self):
@@ -175,11 +210,11 @@ class Validator:
         nonpos, nulls = F.col("nonpos"), F.col("n_payments_amount")
         fail, warn = rev <= 0, (nonpos > 0) | (nulls > 0)
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string("Total revenue is %s — pipeline may be broken.", _f2(rev))),
-                    (warn, F.format_string("Revenue OK (%s) but %s non-positive, %s null amounts.",
-                                           _comma2(rev), nonpos.cast("string"), nulls.cast("string"))),
-                    otherwise=F.format_string("Total revenue = %s — clean.", _comma2(rev)))
-        thr = F.when(~fail & warn, F.lit("no nulls/negatives")).otherwise(F.lit("> 0"))
+        msg = _pick((fail, F.format_string(M["revenue_zero"], _f2(rev))),
+                    (warn, F.format_string(M["revenue_anomalies"], _comma2(rev), nonpos.cast("string"),
+                                           nulls.cast("string"))),
+                    otherwise=F.format_string(M["revenue_ok"], _comma2(rev)))
+        thr = F.when(~fail & warn, F.lit(TH["revenue_anomalies"])).otherwise(F.lit(TH["revenue"]))
         return status, msg, py_str_2dp(rev_dec), thr
 
     def _rule_validate_cohort(self):
@@ -187,13 +222,10 @@ class Validator:
         n, pre = F.col("n_cohorts"), F.col("pre_signup")
         fail, warn = (nulls > 0) | (pre > 0), mism > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string("%s null cohort months; %s pre-signup payments.",
-                                           nulls.cast("string"), pre.cast("string"))),
-                    (warn, F.format_string("%s cohort_month values don't match signup_date.",
-                                           mism.cast("string"))),
-                    otherwise=F.format_string("%s cohorts — all valid, 0 pre-signup anomalies.",
-                                              n.cast("string")))
-        thr = F.when(~fail & warn, F.lit("zero mismatches")).otherwise(F.lit("no nulls / no pre-signup"))
+        msg = _pick((fail, F.format_string(M["cohort_fail"], nulls.cast("string"), pre.cast("string"))),
+                    (warn, F.format_string(M["cohort_mismatch"], mism.cast("string"))),
+                    otherwise=F.format_string(M["cohort_ok"], n.cast("string")))
+        thr = F.when(~fail & warn, F.lit(TH["cohort_mismatch"])).otherwise(F.lit(TH["cohort"]))
         return status, msg, n.cast("string"), thr
 
     def _rule_validate_failure_rate(self):
@@ -203,11 +235,11 @@ class Validator:
         max_pct, warn_pct = p.max_failure_pct, p.warn_failure_pct
         fail, warn = rate > F.lit(max_pct), rate > F.lit(warn_pct)
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string(f"Failure rate %s%% exceeds max {max_pct:.0f}%% (%s/%s).",
-                                           _f1(rate), failed, total)),
-                    (warn, F.format_string("Failure rate %s%% approaching threshold.", _f1(rate))),
-                    otherwise=F.format_string("Failure rate %s%%  (%s/%s).", _f1(rate), failed, total))
-        return status, msg, py_str_2dp(rate), F.lit(f"<= {max_pct:.0f}%")
+        msg = _pick((fail, F.format_string(M["failure_fail"].format(max_pct=f"{max_pct:.0f}"), _f1(rate),
+                                           failed, total)),
+                    (warn, F.format_string(M["failure_warn"], _f1(rate))),
+                    otherwise=F.format_string(M["failure_ok"], _f1(rate), failed, total))
+        return status, msg, py_str_2dp(rate), F.lit(TH["failure"].format(max_pct=f"{max_pct:.0f}"))
 
     def _rule_detect_duplicates(self):
         mx = self.params.max_duplicate_rate
@@ -215,14 +247,14 @@ class Validator:
         excess = F.coalesce(F.col("excess_rows"), F.lit(0))
         rate = F.coalesce(F.col("duplicate_rate"), F.lit(0.0))
         rate_pct = F.concat(fixed(rate * F.lit(100.0), 2), F.lit("%"))
-        mx_txt = f"{mx:.2%}".replace("%", "%%")
+        mx_txt = f"{mx:.2%}".replace("%", "%%")          # a literal % inside a format_string pattern
         fail, warn = rate > F.lit(mx), groups > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string(f"Duplicate rate %s exceeds max {mx_txt} (%s groups, %s excess rows).",
-                                           rate_pct, groups.cast("string"), excess.cast("string"))),
-                    (warn, F.format_string("%s duplicate groups (%s excess rows) — rate %s within threshold.",
-                                           groups.cast("string"), excess.cast("string"), rate_pct)),
-                    otherwise=F.lit(MSG_NO_DUPES))
+        msg = _pick((fail, F.format_string(M["dupes_fail"].format(max_rate=mx_txt), rate_pct,
+                                           groups.cast("string"), excess.cast("string"))),
+                    (warn, F.format_string(M["dupes_warn"], groups.cast("string"), excess.cast("string"),
+                                           rate_pct)),
+                    otherwise=F.lit(M["dupes_ok"]))
         return status, msg, rate.cast("string"), _s(mx)
 
     def _rule_detect_nulls(self):
@@ -237,13 +269,11 @@ class Validator:
 
         fail, warn = F.size(crit) > 0, F.size(high) > 0
         status = _pick((fail, F.lit("FAIL")), (warn, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((fail, F.format_string("Critical columns have NULLs: %s", py_list(crit))),
-                    (warn, F.format_string("%s column(s) exceed null threshold: %s",
-                                           F.size(high).cast("string"), py_list(high))),
-                    otherwise=F.format_string("All %s scanned columns within null threshold.",
-                                              F.size(scan).cast("string")))
-        thr = F.when(fail, F.lit("0 nulls in critical columns")).otherwise(
-            F.lit(f"null_rate <= {p.max_null_rate:.0%}"))
+        msg = _pick((fail, F.format_string(M["nulls_fail"], py_list(crit))),
+                    (warn, F.format_string(M["nulls_warn"], F.size(high).cast("string"), py_list(high))),
+                    otherwise=F.format_string(M["nulls_ok"], F.size(scan).cast("string")))
+        thr = F.when(fail, F.lit(TH["nulls_fail"])).otherwise(
+            F.lit(TH["nulls"].format(max_null=f"{p.max_null_rate:.0%}")))
         return status, msg, F.lit(None).cast("string"), thr
 
     def _rule_freshness_check(self):
@@ -257,20 +287,18 @@ class Validator:
         none = latest.isNull() | (F.col("succ_n") == 0)
         stale = age > F.lit(float(sla))
         status = _pick((none, F.lit("FAIL")), (stale, F.lit("WARN")), otherwise=F.lit("PASS"))
-        msg = _pick((none, F.lit(MSG_NO_SUCCESS)),
-                    (stale, F.format_string(f"Latest payment %s is %s days old (SLA={sla}h). {MSG_DEV_NOTE}",
-                                            latest_s, _f1(age / F.lit(24.0)))),
-                    otherwise=F.format_string("Latest payment %s — %sh ago.", latest_s, _f1(age)))
+        msg = _pick((none, F.lit(M["fresh_none"])),
+                    (stale, F.format_string(M["fresh_stale"].format(sla=sla), latest_s, _f1(age / F.lit(24.0)))),
+                    otherwise=F.format_string(M["fresh_ok"], latest_s, _f1(age)))
         metric = F.when(none, F.lit(None).cast("string")).otherwise(latest_s)
-        thr = F.when(none, F.lit(f"within {sla}h")).otherwise(F.lit(f"within {sla}h of now"))
+        thr = F.when(none, F.lit(TH["fresh_none"].format(sla=sla))).otherwise(F.lit(TH["fresh"].format(sla=sla)))
         return status, msg, metric, thr
 
     def _rule_orphan_check(self):
         n = F.col("orphan_payments")
         status = F.when(n > 0, F.lit("FAIL")).otherwise(F.lit("PASS"))
-        msg = F.when(n > 0, F.format_string("%s payments reference non-existent users.", n.cast("string"))
-                     ).otherwise(F.lit(MSG_NO_ORPHANS))
-        return status, msg, n.cast("string"), F.lit("0")
+        msg = F.when(n > 0, F.format_string(M["orphans_fail"], n.cast("string"))).otherwise(F.lit(M["orphans_ok"]))
+        return status, msg, n.cast("string"), F.lit(TH["orphans"])
 
     # Which aggregate passes each check reads.
     NEEDS = {
