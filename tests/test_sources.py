@@ -119,3 +119,34 @@ def test_write_tables_partitioned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(pay_month" in plan
     rev = MetricsEngine(stored).arpu().first().total_revenue
     assert round(rev, 2) == 2815477243.63
+
+
+def test_report_headers_match_reference_reports(spark, tmp_path):
+    """Headers of the five report files equal those of the reference's shipped reports."""
+    import pathlib
+
+    from ledgerlens.operators.checks import Validator
+    from ledgerlens.operators.cohort import CohortEngine
+    from ledgerlens.operators.failures import FailureMonitor
+    from ledgerlens.operators.metrics import MetricsEngine
+    from ledgerlens.params import FIXTURE_PARAMS
+
+    t = bind(spark, SF_SMALL)
+    out = str(tmp_path / "r")
+    MetricsEngine(t, FIXTURE_PARAMS).export_revenue_report(out)
+    CohortEngine(t, FIXTURE_PARAMS).export_cohort_report(out)
+    FailureMonitor(t, FIXTURE_PARAMS).export_full_report(out)
+    Validator(t, FIXTURE_PARAMS).export_quality_report(out)
+    expected = {  # FIXTURES.md §5
+        "revenue_report.csv": "month,revenue,transactions,unique_payers",
+        "cohort_report.csv": "cohort_month,cohort_size,paying_users,lifetime_revenue,arpu_per_user,conversion_pct",
+        "failure_monitor.csv": "gateway,failure_reason,failure_count,revenue_at_risk,recovered_count,"
+                               "recovery_rate_pct,net_revenue_lost",
+        "retry_summary.csv": "gateway,total_failures,recovered,not_recovered,recovery_pct,recovered_revenue,"
+                             "lost_revenue,avg_days_to_recovery",
+        "quality_report.csv": "check_name,status,message,metric,threshold",
+    }
+    for name, header in expected.items():
+        parts = [p for p in (pathlib.Path(out) / name).iterdir() if p.name.endswith(".csv")]
+        assert len(parts) == 1, name                     # one file per report
+        assert parts[0].open().readline().strip() == header, name
