@@ -67,3 +67,20 @@ def test_all_gateways_row_is_the_sum(t):
 def test_retention_month0_is_100_or_null(t):
     for r in CohortEngine(t, FIXTURE_PARAMS).cohort_retention().collect():
         assert r.m0 in (100.0, None)
+
+
+def test_revenue_report_and_cohort_report_agree(t):
+    """As in the reference's own report pair: the monthly report and the cohort report
+    carry the same total revenue (the cohort ARPU view has no pre-signup guard)."""
+    monthly = total(MetricsEngine(t).monthly_revenue(), "revenue")
+    cohorts = total(CohortEngine(t).cohort_arpu(), "lifetime_revenue")
+    assert monthly == cohorts
+
+
+def test_failure_reports_agree(t):
+    """failure_monitor and retry_summary agree on failures, recoveries and money."""
+    f = FailureMonitor(t)
+    fm, rs = f.failure_monitor(), f.retry_summary()
+    assert total(fm, "failure_count") == total(rs, "total_failures")
+    assert total(fm, "recovered_count") == total(rs, "recovered")
+    assert round(total(fm, "revenue_at_risk") - total(fm, "net_revenue_lost"), 2) == total(rs, "recovered_revenue")
