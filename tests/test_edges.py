@@ -243,3 +243,18 @@ def test_engines_accept_a_dict_of_tables(spark):
     assert one(MetricsEngine(t.as_dict()).arpu())["total_revenue"] == 5.0
     with pytest.raises(TypeError):
         MetricsEngine(42)
+
+
+def test_null_group_keys_form_groups(spark):
+    from decimal import Decimal
+
+    rows = [pay(1, 1, "2024-01-02", 5, gateway=None), pay(2, 1, "2024-01-03", 7, status="failed", gateway=None),
+            pay(3, 1, "2024-01-04", 11, gateway="stripe")]
+    null_day = ("4", "1", None, Decimal("13.00"), "success", "paypal", None)
+    t = make_tables(spark, users=[user(1, "2024-01-01")], payments=rows + [null_day])
+    m = MetricsEngine(t)
+    f = by(m.failed_payment_pct(), "gateway")
+    assert (f[None]["total"], f[None]["failed"], f[None]["failure_pct"]) == (2, 1, 50.0)
+    assert (f["ALL GATEWAYS"]["total"], f["ALL GATEWAYS"]["failed"]) == (4, 1)
+    months = by(m.monthly_revenue(), "month")
+    assert months[None]["revenue"] == 13.0 and months["2024-01"]["revenue"] == 16.0
