@@ -5,11 +5,11 @@ Plan notes:
 * Fingerprint duplicates (F5) run in two phases. Phase 1 counts rows per
   (user_id, payment_date, amount) with a map-side partial count — only a key
   and a counter cross the shuffle, and a hot fingerprint is collapsed before
-  it. Phase 2 semi-joins payments to the (usually few) duplicate keys — AQE
-  broadcasts that side only when its measured size is under the broadcast
-  threshold, else it is a shuffle join with skew splitting — and builds the id
-  list for duplicate groups only. Keys compare NULL-safe (NULL user = NULL user),
-  as SQL GROUP BY does.
+  it. Phase 2 semi-joins payments to the (usually few) duplicate fingerprints on
+  a single 64-bit hash of the key — AQE broadcasts that side only when its
+  measured size is under the broadcast threshold, else it is a shuffle join with
+  skew splitting — and builds the id list for duplicate groups only, regrouping
+  on the exact keys (NULL user = NULL user, as SQL GROUP BY does).
 * Stale pendings (F6) are a LEFT ANTI join (not LEFT JOIN + IS NULL, which
   Spark would keep as an outer join plus filter) against events first reduced
   by a LEFT SEMI join to the pending ids, so the event table is never shuffled
@@ -50,16 +50,9 @@ def _stack(labels_and_cols: list[tuple[str, str]], name: str = "check_name",
     return f"stack({len(labels_and_cols)}, {parts}) AS ({name}, {value})"
 
 
-def _renamed_keys(df: DataFrame) -> DataFrame:
-    return df.select(*[F.col(k).alias(f"_dk_{k}") for k in FINGERPRINT])
-
-
-def _null_safe_key_match():
-    cond = None
-    for k in FINGERPRINT:
-        c = F.col(k).eqNullSafe(F.col(f"_dk_{k}"))
-        cond = c if cond is None else cond & c
-    return cond
+def _fingerprint_hash():
+    """One 64-bit key per fingerprint (NULLs hash like any value, so NULL user = NULL user)."""
+    return F.xxhash64(*[F.col(k) for k in FINGERPRINT])
 
 
 def duplicate_groups(payments: DataFrame, with_gateway: bool = True) -> DataFrame:
@@ -70,9 +63,14 @@ def duplicate_groups(payments: DataFrame, with_gateway: bool = True) -> DataFram
     arbitrary row's value).
     """
     keys = list(FINGERPRINT)
-    dup_keys = (payments.groupBy(*keys).agg(F.count("payment_id").alias("n"))
-                .where(F.col("n") > 1))
-    members = payments.join(_renamed_keys(dup_keys), _null_safe_key_match(), "left_semi")
+    # Phase 1: exact counts per fingerprint; only the hashes of duplicate ones go on.
+    dup_hashes = (payments.groupBy(*keys).agg(F.count("payment_id").alias("n"))
+                  .where(F.col("n") > 1).select(_fingerprint_hash().alias("_fp")))
+    # Phase 2: payments whose fingerprint hash is a duplicate one (a single-column equi
+    # join). A hash collision can only let a non-duplicate row through; the exact
+    # regrouping below leaves it in a group of one, which the count filter drops.
+    members = (payments.withColumn("_fp", _fingerprint_hash())
+               .join(dup_hashes, "_fp", "left_semi").drop("_fp"))
     aggs = [F.count("payment_id").alias("duplicate_count"),
             F.array_join(F.array_sort(F.collect_list("payment_id")).cast("array<string>"), ",")
             .alias("payment_ids")]
