@@ -1 +1 @@
-"""streaming"""
+"""Structured Streaming refresh of the daily trend views (an extension; see ``refresh``)."""
