@@ -24,3 +24,15 @@ def test_entry_smoke(spark):
     rows = df.collect()
     assert df.columns == ["month", "revenue", "transactions", "unique_payers"]
     assert len(rows) > 0
+
+
+@pytest.mark.parametrize("key", ["arpu", "revenue_growth", "cohort_retention", "failure_monitor", "run_all",
+                                 "gateway_health", "duplicate_transactions", "kpi_header"])
+def test_parity_with_ansi_off(spark, duck, key):
+    """Results do not depend on ANSI mode (ratios use NULLIF, casts are try_cast)."""
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        assert compare(spark, duck, key, SF_SMALL, QUERIES[key], ORACLES[key], verbose=True)
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
