@@ -13,7 +13,7 @@ import os
 import re
 from collections.abc import Callable
 
-CACHE_WORDS = 300_000
+CACHE_WORDS = 500_000
 
 # Words of these characters alone need no normalisation beyond lower case, and the
 # splitting pattern of the vocabulary file can be applied by ``re`` directly.
@@ -40,7 +40,7 @@ class WordCache:
         if len(self.young) > CACHE_WORDS:
             self.young, self.old = {}, self.young
         new = set().union(*texts).difference(self.young)
-        known = new.intersection(self.old) if self.old else ()
+        known = [w for w in new if w in self.old] if self.old else []  # a set operation would walk the whole dict
         for w in known:
             self.young[w] = self.old[w]
         new = new.difference(known)
@@ -68,6 +68,8 @@ class Vocabulary:
 
     def pieces(self, word: bytes) -> list[bytes | int]:
         """Pre-tokens (bytes) and special tokens (their ids) of a word, in order."""
+        if word.isalpha():  # ASCII letters only
+            return [word.lower()]
         text = word.decode("utf-8", "replace")
         if PLAIN.fullmatch(text) and "<|" not in text:
             return [p.encode() for p in PIECES.findall(text.lower())]
