@@ -126,7 +126,7 @@ class Model:
 
 
 def fit(docs: DataFrame, ratings: DataFrame, grades: int, max_rated: int = 20_000, bits: int = 18, min_docs: int = 15,
-        steps: int = 150, rate: float = 0.1, l1: float = 3e-3) -> Model:
+        steps: int = 200, rate: float = 0.15, l1: float = 2e-3) -> Model:
     """``ratings``: doc_id, grade (0..grades-1). Proximal gradient steps scaled per parameter."""
     for_python(docs.sparkSession)
     rated = (ratings.select(F.col("doc_id").cast("long").alias("id"), F.col("grade").cast("int").alias("grade"))

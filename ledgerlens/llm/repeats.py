@@ -106,7 +106,7 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def candidates(docs: DataFrame, units: Units) -> DataFrame:
-    """Runs (id, h, block, first, last, mixed) of every seed that anchors more than one run."""
+    """Runs (id, h, seed, block, first, last, mixed) of every seed that anchors more than one run."""
     for_python(docs.sparkSession)
 
     def extract(batches):
@@ -124,13 +124,13 @@ def candidates(docs: DataFrame, units: Units) -> DataFrame:
     every = stored(keyed(docs).mapInArrow(extract, RUNS), "runs")
     again = (every.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("a"), F.max("block").alias("b"))
              .where("n > 1").select("seed", (F.col("a") != F.col("b")).alias("mixed")))
-    return stored(every.join(again, "seed").select("id", "h", "block", "first", "last", "mixed"), "repeated-runs")
+    return stored(every.join(again, "seed").select("id", "h", "seed", "block", "first", "last", "mixed"), "repeated-runs")
 
 
 def blocks(runs_: DataFrame) -> DataFrame:
-    """The distinct blocks of mixed seeds: block, n (runs that have it), one run as (id, h, first, last)."""
-    return (runs_.where("mixed").groupBy("block").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "first", "last")).alias("r"))
-            .select("block", "n", "r.*"))
+    """The distinct blocks of mixed seeds: seed, block, n (runs that have it), one run as (id, h, first, last)."""
+    return (runs_.where("mixed").groupBy("seed", "block").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("id", "h", "first", "last")).alias("r"))
+            .select("seed", "block", "n", "r.*"))
 
 
 def packed(docs: DataFrame) -> DataFrame:
@@ -148,9 +148,10 @@ def unpack(texts: pa.Array) -> list[bytes]:
     return [z.decompress(t) for t in texts.to_pylist()]
 
 
-def block_texts(docs: DataFrame, blocks_: DataFrame, extract: Callable, schema: str) -> DataFrame:
-    """``extract(text, [(block, n, first, last)])`` yields record batches for the blocks of one document."""
-    own = (blocks_.groupBy("id", "h").agg(F.collect_list(F.struct("block", "n", "first", "last")).alias("blocks"))
+def block_texts(docs: DataFrame, blocks_: DataFrame, extract: Callable, schema: str, *more: str) -> DataFrame:
+    """``extract(text, [(block, n, first, last, *more)])`` yields record batches for the blocks of one document."""
+    fields = ("block", "n", "first", "last", *more)
+    own = (blocks_.groupBy("id", "h").agg(F.collect_list(F.struct(*fields)).alias("blocks"))
            .select(F.col("id").alias("b_id"), F.col("h").alias("b_h"), "blocks"))  # at most one a window of the document
     d = packed(docs)
     both = d.join(own, d["id"].eqNullSafe(own["b_id"]) & (d["h"] == own["b_h"])).select("t", "blocks")
@@ -158,7 +159,7 @@ def block_texts(docs: DataFrame, blocks_: DataFrame, extract: Callable, schema:
     def run(batches):
         for b in batches:
             for t, x in zip(unpack(b.column(0)), b.column(1).to_pylist(), strict=True):
-                yield from extract(t, [(r["block"], r["n"], r["first"], r["last"]) for r in x])
+                yield from extract(t, [tuple(r[f] for f in fields) for r in x])
 
     return both.mapInArrow(run, schema)
 

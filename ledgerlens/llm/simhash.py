@@ -15,8 +15,8 @@ again by equality join. That finds every link of those members, at a cost per me
 does not depend on the size of the signature's group.
 
 Defined results: NULL or word-less text has fingerprint zero, linked like any other;
-fewer words than a shingle hash as one sequence; NULL doc_id is kept (never the smallest
-unless alone); repeated rows stay rows; an empty table gives no row.
+fewer words than a shingle hash as one sequence; NULL doc_id is kept (the group's id is the
+smallest known one, NULL if none is); repeated rows stay rows; an empty table gives no row.
 """
 
 from __future__ import annotations
@@ -96,16 +96,17 @@ def links(fps: DataFrame, distance: int = 2, bucket: int = 64) -> DataFrame:
 
 
 def groups(docs: DataFrame, shingle: int = 3, distance: int = 2, bucket: int = 64) -> DataFrame:
-    """doc_id, fp (signed long), component_id (smallest doc_id reachable) of every row."""
+    """doc_id, fp (signed long), component_id (smallest doc_id reachable), h (hash of the text),
+    root (smallest fingerprint of the group) of every row."""
     for_python(docs.sparkSession)
-    marked = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), fingerprint_column(shingle).alias("fp")), "fingerprints")
+    marked = stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text_or_empty()).alias("h"), fingerprint_column(shingle).alias("fp")), "fingerprints")
     fps = stored(marked.groupBy("fp").agg(F.min("doc_id").alias("first")), "distinct-fingerprints")
     roots = components(links(fps.select("fp"), distance, bucket))
     named = fps.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     # Both joins meet a group of copies on one key; adaptive skew splitting divides the side of the documents.
-    of_fp = stored(named.select("fp", "root").join(smallest, "root").select("fp", "component_id"), "fingerprint-groups")
-    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id")
+    of_fp = stored(named.select("fp", "root").join(smallest, "root").select("fp", "root", "component_id"), "fingerprint-groups")
+    return marked.join(of_fp, "fp").select("doc_id", "fp", "component_id", "h", "root")
 
 
 def hexed(fp: Column) -> Column:
@@ -113,12 +114,12 @@ def hexed(fp: Column) -> Column:
 
 
 def one_of_each_group(docs: DataFrame, shingle: int = 3, distance: int = 2) -> DataFrame:
-    """The documents without near-duplicates: the smallest doc_id of each group stays, once
-    (of rows that repeat it, the one with the smallest text hash). All columns are kept.
-    A group whose ids are all NULL keeps its NULL rows as one document."""
-    g = groups(docs, shingle, distance)
-    stay = g.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, docs["doc_id"].cast("long").eqNullSafe(stay["_id"]), "left_semi")
-    rank = fresh(docs, "rank")
-    order = [F.xxhash64(text_or_empty()), text_or_empty()]
-    return kept.withColumn(rank, F.row_number().over(Window.partitionBy("doc_id").orderBy(*order))).where(F.col(rank) == 1).drop(rank)
+    """The documents without near-duplicates, all columns: of each group the row with the
+    smallest doc_id (NULL last), then the smallest text hash, stays once."""
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("unknown"), F.col("doc_id").alias("_id"), F.col("h").alias("_h")))
+    stay = stored(groups(docs, shingle, distance).groupBy("root").agg(first.alias("m")).select("m._id", "m._h"), "kept-ids")
+    h, rank = fresh(docs, "h"), fresh(docs, "rank")
+    d = docs.withColumn(h, F.xxhash64(text_or_empty()))
+    kept = d.join(stay, d["doc_id"].cast("long").eqNullSafe(stay["_id"]) & (d[h] == stay["_h"]), "left_semi")
+    once = Window.partitionBy("doc_id", h).orderBy(text_or_empty())
+    return kept.withColumn(rank, F.row_number().over(once)).where(F.col(rank) == 1).drop(rank, h)

@@ -3,17 +3,18 @@
 Removes every byte that lies in a ``length``-byte string which also starts anywhere else.
 Candidate blocks (see ``repeats``) are ordered as suffixes that start at their anchor:
 
-1. Spark samples splitters and range-partitions the suffixes by their bytes.
+1. Spark samples splitters and range-partitions the suffixes by their leading bytes, as many
+   as an anchor string has; blocks of one anchor string meet in one bucket.
 2. Each bucket sorts its suffixes by multikey quicksort (eight bytes a key; later keys are
    compared among ties only) and the reversed texts before the anchors likewise, and takes
    the common prefix of neighbours in both orders.
 3. The window that begins o bytes before the anchor occurs again exactly if another
    block agrees in length-o bytes from the anchor on and in o bytes before it: same group in
    both orders, cut where neighbours share less. This is decided for every o.
-4. Blocks of one anchor string can lie on both sides of a bucket boundary (the splitters
-   cut inside a large group, as ties are broken by the block). Each bucket therefore also
-   gives the windows of its first and last anchor string by hash, one row per distinct
-   window, and these are compared across buckets by a grouped count.
+4. An anchor string with more than ``largest`` distinct blocks is dealt over several parts,
+   which the splitters may put on both sides of a bucket boundary. Its blocks therefore also
+   give their windows by hash, one row per distinct window and bucket, and these are
+   compared across the boundaries by a grouped count.
 
 Defined results: NULL text = empty text (0 bytes, hash of nothing); rows that repeat a
 doc_id or a text are documents of their own, so their strings occur elsewhere; texts shorter
@@ -35,7 +36,8 @@ from ledgerlens.llm import repeats
 from ledgerlens.llm.common import shuffle_partitions, stored
 
 SEED_SHARE = 0.5  # of the window: longer seeds mean more anchors, but fewer mixed ones
-SUFFIXES = "suffix binary, before binary, block long, many boolean, least int"
+LARGEST = 100_000  # distinct blocks of one anchor string that a bucket takes whole
+SUFFIXES = "lead binary, part int, suffix binary, before binary, block long, many boolean, least int, split boolean"
 FOUND = "block long, a int, b int, window long, bucket int"
 
 
@@ -81,7 +83,7 @@ def neighbour_prefix(keys: np.ndarray, order: np.ndarray) -> np.ndarray:
 
 def repeated_offsets(suffixes: list[bytes], before: list[bytes], least: np.ndarray, length: int):
     """(block index, o) flags: the window o bytes before the anchor occurs in another block.
-    Offsets of block x run from least[x] to len(before[x]). Also the order of the suffixes."""
+    Offsets of block x run from least[x] to len(before[x])."""
     n = len(suffixes)
     right, _ = as_keys(suffixes)
     left, l_len = as_keys([t[::-1] for t in before])
@@ -99,7 +101,7 @@ def repeated_offsets(suffixes: list[bytes], before: list[bytes], least: np.ndarr
         pair = r_group[rows] * (n + 1) + l_group[rows]
         _, back, counts = np.unique(pair, return_inverse=True, return_counts=True)
         flags[rows, o] = counts[back] > 1
-    return flags, r_order, r_lcp
+    return flags
 
 
 def spans(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -114,36 +116,34 @@ def suffix_rows(units: repeats.Units):
 
     def extract(text: bytes, own: list):
         rows = []
-        for block, n, first, last in own:
+        for block, n, first, last, part_no, parts in own:
             part = text[first:last + units.length]
             place = int(np.argmin(units.seeds(part[:units.length])[:w] >> repeats.HASH_BITS))
-            rows.append((part[place:], part[:place], block, n > 1, place - (last - first)))
+            rows.append((part[place:place + units.seed], part_no, part[place:], part[:place], block, n > 1, place - (last - first), parts > 1))
         for k in range(0, len(rows), 2000):
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 2000], strict=True), (pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.int32()), strict=True)],
-                                             names=["suffix", "before", "block", "many", "least"])
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[k:k + 2000], strict=True), (pa.binary(), pa.int32(), pa.binary(), pa.binary(), pa.int64(), pa.bool_(), pa.int32(), pa.bool_()), strict=True)],
+                                             names=["lead", "part", "suffix", "before", "block", "many", "least", "split"])
     return extract
 
 
-def bucket_rows(length: int, seed: int):
-    """Sort one bucket; give the repeated ranges of its blocks and its edge windows."""
+def bucket_rows(length: int):
+    """Sort one bucket; give the repeated ranges of its blocks and the windows of dealt anchor strings."""
     def run(batches):
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         t = pa.Table.from_batches(got)
         suffix, before, block, many = (t.column(k).to_pylist() for k in range(4))
-        least = t.column(4).to_numpy()
+        least, split = t.column(4).to_numpy(), t.column(5).to_numpy()
         bucket = TaskContext.get().partitionId()
-        flags, order, lcp = repeated_offsets(suffix, before, least, length)
+        flags = repeated_offsets(suffix, before, least, length)
         out = []
         for x in range(len(block)):
             if not many[x]:
                 place = len(before[x])
                 out += [(block[x], place - b, place - a, None, bucket) for a, b in spans(flags[x, :place + 1])]
-        starts = np.flatnonzero(lcp < seed)  # first row of each anchor string, in order
-        edges = {*order[starts[0]:starts[1] if len(starts) > 1 else len(order)].tolist(), *order[starts[-1]:].tolist()}
         seen: set[int] = set()
-        for x in sorted(edges):
+        for x in np.flatnonzero(split).tolist():
             whole = before[x] + suffix[x]
             for o in range(int(least[x]), len(before[x]) + 1):
                 at = len(before[x]) - o
@@ -158,11 +158,15 @@ def bucket_rows(length: int, seed: int):
     return run
 
 
-def repeated_ranges(docs: DataFrame, blocks: DataFrame, units: repeats.Units) -> DataFrame:
+def repeated_ranges(docs: DataFrame, blocks: DataFrame, units: repeats.Units, largest: int = LARGEST) -> DataFrame:
     """block, a, b: window starts (relative to the block) that occur in another block."""
-    rows = repeats.block_texts(docs, blocks, suffix_rows(units), SUFFIXES)
-    parts = shuffle_partitions(docs.sparkSession)
-    found = stored(rows.repartitionByRange(parts, "suffix", "block").mapInArrow(bucket_rows(units.length, units.seed), FOUND), "suffix-buckets")
+    dealt = blocks.groupBy("seed").agg(F.count(F.lit(1)).alias("members")).where(F.col("members") > largest)
+    parts = F.coalesce(F.ceil(F.col("members") / largest), F.lit(1)).cast("int")
+    own = blocks.join(dealt, "seed", "left").withColumn("parts", parts).withColumn("part", F.pmod("block", "parts").cast("int"))
+    rows = repeats.block_texts(docs, own, suffix_rows(units), SUFFIXES, "part", "parts")
+    buckets = (rows.repartitionByRange(shuffle_partitions(docs.sparkSession), "lead", "part")
+               .select("suffix", "before", "block", "many", "least", "split").mapInArrow(bucket_rows(units.length), FOUND))
+    found = stored(buckets, "suffix-buckets")
     inside = found.where("window is null").select("block", "a", "b")
     edge = found.where("window is not null")
     twice = edge.groupBy("window").agg(F.min("bucket").alias("x"), F.max("bucket").alias("y")).where("x < y").select("window")
@@ -170,12 +174,12 @@ def repeated_ranges(docs: DataFrame, blocks: DataFrame, units: repeats.Units) ->
     return inside.union(across)
 
 
-def removed_bytes(docs: DataFrame, length: int = 400) -> DataFrame:
+def removed_bytes(docs: DataFrame, length: int = 400, largest: int = LARGEST) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of every document."""
     units = repeats.Units("bytes", length, max(8, int(length * SEED_SHARE)))
     runs = repeats.candidates(docs, units)
     blocks = stored(repeats.blocks(runs), "blocks")
-    ranges = repeats.covered(runs, blocks, repeated_ranges(docs, blocks, units))
+    ranges = repeats.covered(runs, blocks, repeated_ranges(docs, blocks, units, largest))
 
     def digest(text: bytes, found: list) -> tuple:
         gone = repeats.removed_mask(len(text), found, length)
