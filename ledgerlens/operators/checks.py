@@ -373,20 +373,22 @@ class Validator:
                                  metric.cast("string").alias("metric"), thr.cast("string").alias("threshold")))
         return self._wide(*parts).select(F.inline(F.array(*rows)))
 
-    def run_all_isolated(self, spark: SparkSession) -> DataFrame:
+    def run_all_isolated(self, spark: SparkSession | None = None) -> DataFrame:
         """Like ``run_all`` but each check runs as its own job; one that raises becomes
-        an ERROR row. Only the eight one-row results reach the driver."""
+        an ERROR row with the whole error text. Only the eight one-row results reach the driver."""
+        spark = spark or SparkSession.active()
         rows = []
         for name in self.CHECK_ORDER:
             try:
                 r = getattr(self, name)().first()
                 rows.append(tuple(r[c] for c in CHECK_COLUMNS))
             except Exception as exc:  # noqa: BLE001 - any failure of one check is reported, not raised
-                rows.append((name, "ERROR", str(exc).splitlines()[0][:500] if str(exc) else repr(exc), None, None))
+                rows.append((name, "ERROR", str(exc) or repr(exc), None, None))
         return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in CHECK_COLUMNS))
 
     def quality_report(self) -> DataFrame:
-        return self.run_all().select(*CHECK_COLUMNS)
+        """The report users read: a check that raises is an ERROR row, the others still stand."""
+        return self.run_all_isolated()
 
     def export_quality_report(self, out_dir: str) -> str:
         """The check rows (five columns, no detail) as ``quality_report.csv``."""

@@ -165,7 +165,7 @@ class FailureMonitor:
                .select("payment_id", "user_id", "payment_date", money("amount").alias("amount"),
                        "gateway", "status", days_between(as_of, "payment_date").alias("days_stale")))
         if min_days:
-            out = out.where(F.col("days_stale") > F.lit(min_days))
+            out = out.where(F.col("days_stale") >= F.lit(min_days))
         return out.orderBy(F.desc("days_stale"), F.desc("amount"), "payment_id")
 
     # -- F7 / F14 ------------------------------------------------------------------------

@@ -210,10 +210,10 @@ def _views():
         "gateway_revenue_share": lambda m, **_: V.gateway_revenue_share(m.revenue_by_gateway()),
         "reason_loss_share": lambda f, **_: V.reason_loss_share(f.top_failure_reasons()),
         "null_pct": lambda v, **_: V.null_pct(v.null_scan()),
-        "status_counts": lambda v, **_: V.status_counts(v.run_all()),
-        "worst_status": lambda v, **_: V.worst_status(v.run_all()),
-        "checks_display": lambda v, **_: V.checks_display(v.run_all()),
-        "check_line": lambda v, **_: V.check_line(v.run_all()),
+        "status_counts": lambda v, **_: V.status_counts(v.run_all_isolated()),
+        "worst_status": lambda v, **_: V.worst_status(v.run_all_isolated()),
+        "checks_display": lambda v, **_: V.checks_display(v.run_all_isolated()),
+        "check_line": lambda v, **_: V.check_line(v.run_all_isolated()),
         "duplicates_top15": lambda f, **_: V.head(f.duplicate_transactions(), 15),
         "gateway_revenue_display": lambda m, **_: V.rename_for_display(m.revenue_by_gateway(),
                                                                        V.GATEWAY_REVENUE_LABELS),

@@ -18,14 +18,16 @@ CLUSTER_SQL_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "4000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 << 20),
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 << 20),
+    # Broadcast by measured size only: the static threshold goes by estimated file size.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": str(64 << 20),
     "spark.sql.files.maxPartitionBytes": str(512 << 20),
-    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.shuffle.partitions": "4000",
     "spark.sql.session.timeZone": "UTC",
 }
 
@@ -67,7 +69,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
     On a cluster the setting is read from the session and never overridden.
-    Only where it is unset (local tests) a scratch folder is created and set.
+    Only where it is unset and the master is local (tests) a scratch folder is created
+    and set; a cluster without the setting is an error, as its machines share no folder.
     """
     try:
         sc = spark.sparkContext
@@ -75,6 +78,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         sc = None
     d = spark.conf.get(CHECKPOINT_CONF, None) or (sc.getCheckpointDir() if sc else None)
     if not d:
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all machines share")
         d = tempfile.mkdtemp(prefix="ledgerlens-ckpt-")
         try:
             spark.conf.set(CHECKPOINT_CONF, d)

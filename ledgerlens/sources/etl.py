@@ -2,7 +2,7 @@
 
 The reference loads CSVs into a database in FK order, validates row counts,
 then appends derived ``retry_success`` events. Here each table is one parallel
-Parquet write (overwrite = atomic full refresh, append = incremental), the
+Parquet write (overwrite = staged, counted, then switched in; append = incremental), the
 count check reads the written table back, and the derivations are lazy
 projections that can be unioned into the event table before it is written.
 Writing each table also cuts lineage, so a lost executor re-runs only the
@@ -22,7 +22,8 @@ from pyspark.sql.types import StringType
 from ledgerlens.functions.expr import month_key
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
 from ledgerlens.sources.csv import read_csv
-from ledgerlens.sources.tables import Tables, read_table, write_table
+from ledgerlens.sources.tables import (Tables, drop_staged, read_table, stage_table, switch_table, table_exists,
+                                       write_table)
 
 log = logging.getLogger("ledgerlens.etl")
 
@@ -55,6 +56,8 @@ def load_table(spark: SparkSession, csv_path: str, root: str, table: str, skip_t
                schema=None) -> int:
     """Read a CSV, write it as the stored table (overwrite, or append with
     ``skip_truncate``) and check the stored count. Returns the rows loaded or -1.
+    A refresh is counted before it replaces the table: on a bad row or a wrong count the
+    previous table stays as it was.
 
     The source row count is an ``observe`` metric of the write job itself, so the
     CSV is read once.
@@ -63,32 +66,36 @@ def load_table(spark: SparkSession, csv_path: str, root: str, table: str, skip_t
 
     src = read_csv(spark, csv_path, schema=schema, table=None if schema is not None else table)
     obs = Observation(f"load_{table}")
-    before = 0
+    counted = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     if skip_truncate:
-        try:
-            before = read_table(spark, root, table).count()
-        except Exception:  # noqa: BLE001 - no stored table yet
-            before = 0
-    write_table(src.observe(obs, F.count(F.lit(1)).alias("rows")), root, table,
-                mode="append" if skip_truncate else "overwrite")
+        before = read_table(spark, root, table).count() if table_exists(spark, root, table) else 0
+        write_table(counted, root, table, mode="append")
+        src_rows = obs.get["rows"]
+        return src_rows if validate_load(spark, root, table, before + src_rows) else -1
+    staged = stage_table(counted, root, table)
     src_rows = obs.get["rows"]
-    ok = validate_load(spark, root, table, before + src_rows)
-    return src_rows if ok else -1
+    stored = spark.read.parquet(staged).count()
+    if stored != src_rows:
+        log.error("Row count mismatch for %s: expected %d, got %d", table, src_rows, stored)
+        drop_staged(spark, staged)
+        return -1
+    switch_table(spark, staged, root, table)
+    return src_rows
 
 
 # -- S9 / S10 / S11 / S12 / S13 ------------------------------------------------------------
 def retry_success_events(payment_failures: DataFrame) -> DataFrame:
     """One ``retry_success`` event per recovered failure, dated on its recovery day.
 
-    Rows whose recovery date does not parse are skipped. The event id is derived
-    from the payment id (deterministic, so re-running the load is idempotent).
+    Rows whose recovery date does not parse are skipped. The event id is derived from
+    the failure id: a payment can fail, and recover, more than once.
     """
     rd = F.col("recovery_date")
     if isinstance(payment_failures.schema["recovery_date"].dataType, StringType):
         rd = F.try_to_date(rd)
     rec = (payment_failures.where((F.col("recovered") == 1) & F.col("recovery_date").isNotNull())
-           .select("payment_id", rd.alias("rdate")).where(F.col("rdate").isNotNull()))
-    return rec.select(F.concat(F.lit("retry:"), F.col("payment_id").cast("string")).alias("event_id"),
+           .select("failure_id", "payment_id", rd.alias("rdate")).where(F.col("rdate").isNotNull()))
+    return rec.select(F.concat(F.lit("retry:"), F.col("failure_id").cast("string")).alias("event_id"),
                       "payment_id", F.lit(RETRY_EVENT_TYPE).alias("event_type"),
                       F.col("rdate").cast("timestamp_ntz").alias("event_time"))
 
@@ -149,7 +156,9 @@ def load_all(spark: SparkSession, csv_dir: str, root: str, skip_truncate: bool =
         ok &= n != -1
     # Derived events read the failures table just written (lineage is cut by the write).
     retry = retry_success_events(read_table(spark, root, "payment_failures"))
-    write_table(retry, root, "revenue_events", mode="append")
+    # Events that an earlier load appended are not appended again.
+    known = read_table(spark, root, "revenue_events").where(F.col("event_type") == RETRY_EVENT_TYPE).select("event_id")
+    write_table(retry.join(known, "event_id", "left_anti").select(*retry.columns), root, "revenue_events", mode="append")
     return LoadResult(ok=ok, rows=rows)
 
 

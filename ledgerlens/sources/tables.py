@@ -7,12 +7,15 @@ Stored layout (one folder per table under a root path, Parquet):
 * No bucketing by ``user_id``: with one user able to hold a third of all payments,
   that bucket would be one task's third of the table. Map-side pre-aggregation
   before each shuffle keeps hot users cheap instead.
-* Writes are whole-table overwrite (full refresh) or append, one Spark job each;
-  a failed job leaves the previous snapshot readable (Parquet commit protocol).
+* A full refresh writes beside the table and is switched in by renaming once it is
+  complete (and, in the load path, counted); until then, and after any failure, the
+  previous table stays readable. Appends go through Spark's commit protocol.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
@@ -73,8 +76,42 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
+def _hadoop(spark: SparkSession, path: str):
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def stage_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> str:
+    """Write a new version of a table beside the current one; returns its path."""
+    staged = f"{table_path(root, name)}.staged-{uuid.uuid4().hex[:12]}"
+    w = df.write.mode("errorifexists")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
+    return staged
+
+
+def drop_staged(spark: SparkSession, staged: str) -> None:
+    fs, p = _hadoop(spark, staged)
+    fs.delete(p, True)
+
+
+def switch_table(spark: SparkSession, staged: str, root: str, name: str) -> None:
+    """Make a staged version the table: the current one is renamed away first, renamed
+    back if the new one cannot take its place, and deleted only after it has."""
+    fs, new = _hadoop(spark, staged)
+    current, previous = (_hadoop(spark, table_path(root, name) + end)[1] for end in ("", f".previous-{uuid.uuid4().hex[:12]}"))
+    had = fs.exists(current)
+    if had and not fs.rename(current, previous):
+        raise OSError(f"cannot move the current {name} aside")
+    if not fs.rename(new, current):
+        if had:
+            fs.rename(previous, current)
+        raise OSError(f"cannot switch {name} to {staged}")
+    if had:
+        fs.delete(previous, True)
+
+
 def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """S2 ``src_table``: a stored table by name (explicit schema, no inference)."""
+    """S2 ``src_table``: a stored table by name (the schema is that of the Parquet files)."""
     if name not in TABLE_SCHEMAS:
         raise KeyError(f"unknown table {name!r}")
     return spark.read.parquet(table_path(root, name))
@@ -90,10 +127,11 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     """``overwrite`` = truncate + load (full refresh), ``append`` keeps rows."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    w = df.write.mode(mode)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(table_path(root, name))
+    if mode == "overwrite":
+        switch_table(df.sparkSession, stage_table(df, root, name, partition_by), root, name)
+        return
+    w = df.write.mode("append")
+    (w.partitionBy(*partition_by) if partition_by else w).parquet(table_path(root, name))
 
 
 def write_tables(tables: Tables, root: str, mode: str = "overwrite",
@@ -106,16 +144,13 @@ def write_tables(tables: Tables, root: str, mode: str = "overwrite",
 
 def truncate_table(spark: SparkSession, root: str, name: str) -> None:
     """Empty one stored table (an overwrite with no rows, schema kept)."""
-    spark.createDataFrame([], TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(table_path(root, name))
+    write_table(spark.createDataFrame([], TABLE_SCHEMAS[name]), root, name)
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    """True when a readable Parquet table is stored at root/name."""
-    try:
-        spark.read.parquet(table_path(root, name)).schema  # noqa: B018 - reads footers only
-        return True
-    except Exception:  # AnalysisException: path does not exist / unable to infer
-        return False
+    """True when something is stored at root/name; whether it can be read is the reader's matter."""
+    fs, p = _hadoop(spark, table_path(root, name))
+    return fs.exists(p)
 
 
 def verify_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -132,7 +167,7 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
     created = []
     for name, schema in TABLE_SCHEMAS.items():
         if not table_exists(spark, root, name):
-            spark.createDataFrame([], schema).write.mode("overwrite").parquet(table_path(root, name))
+            spark.createDataFrame([], schema).write.mode("errorifexists").parquet(table_path(root, name))
             created.append(name)
     return created
 
@@ -140,6 +175,5 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
 def reset_tables(spark: SparkSession, root: str) -> None:
     """Empty every table, children before parents (reverse load order)."""
     for name in reversed(TABLE_NAMES):
-        spark.createDataFrame([], TABLE_SCHEMAS[name]).write.mode("overwrite").parquet(
-            table_path(root, name))
+        truncate_table(spark, root, name)
 

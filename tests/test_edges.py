@@ -220,8 +220,8 @@ def test_retry_events_skip_bad_dates(spark):
     from ledgerlens.sources.etl import retry_success_events
 
     pf = spark.createDataFrame(
-        [("1", 1, "2024-01-05"), ("2", 1, "not-a-date"), ("3", 0, "2024-01-06"), ("4", 1, None)],
-        "payment_id string, recovered int, recovery_date string")
+        [("f1", "1", 1, "2024-01-05"), ("f2", "2", 1, "not-a-date"), ("f3", "3", 0, "2024-01-06"), ("f4", "4", 1, None)],
+        "failure_id string, payment_id string, recovered int, recovery_date string")
     rows = retry_success_events(pf).collect()
     assert [(r.payment_id, r.event_type, r.event_time) for r in rows] == [
         ("1", "retry_success", dt.datetime(2024, 1, 5))]

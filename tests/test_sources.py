@@ -150,3 +150,29 @@ def test_report_headers_match_reference_reports(spark, tmp_path):
         parts = [p for p in (pathlib.Path(out) / name).iterdir() if p.name.endswith(".csv")]
         assert len(parts) == 1, name                     # one file per report
         assert parts[0].open().readline().strip() == header, name
+
+
+def test_failed_refresh_keeps_the_previous_table(spark, tmp_path, monkeypatch):
+    from ledgerlens.sources import etl
+
+    root, good, bad = str(tmp_path / "root"), tmp_path / "good.csv", tmp_path / "bad.csv"
+    head = "application_id,user_id,company,fee\n"
+    good.write_text(head + "a1,u1,c,10.00\na2,u2,c,20.00\n")
+    bad.write_text(head + "a3,u3,c,not a number\n")
+    schema = "application_id string, user_id string, company string, fee decimal(18,2)"
+    assert etl.load_table(spark, str(good), root, "applications", schema=schema) == 2
+    with pytest.raises(Exception):
+        etl.load_table(spark, str(bad), root, "applications", schema=schema)
+    assert read_table(spark, root, "applications").count() == 2
+    monkeypatch.setattr(etl, "switch_table", lambda *a: (_ for _ in ()).throw(OSError("no rename")))
+    with pytest.raises(OSError):
+        etl.load_table(spark, str(good), root, "applications", schema=schema)
+    assert read_table(spark, root, "applications").count() == 2
+
+
+def test_two_recovered_failures_of_one_payment_have_two_events(spark):
+    from ledgerlens.sources.etl import retry_success_events
+
+    f = spark.createDataFrame([("f1", "p1", 1, "2024-01-02"), ("f2", "p1", 1, "2024-01-05"), ("f3", "p2", 1, "soon")],
+                              "failure_id string, payment_id string, recovered int, recovery_date string")
+    assert sorted(r.event_id for r in retry_success_events(f).collect()) == ["retry:f1", "retry:f2"]
