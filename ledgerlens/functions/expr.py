@@ -23,17 +23,14 @@ def money(c: ColumnOrName) -> Column:
 
 
 def r2(c: ColumnOrName) -> Column:
-    """ROUND(x, 2), half away from zero, on the 6-dp decimal form of ``x``.
-
-    Rounding the decimal form makes ties (1.005, 0.285) round the same way in
-    every engine instead of depending on the binary value of the double.
-    """
-    return F.round(_c(c).cast("decimal(38,6)"), 2).cast("double")
+    """ROUND(x, 2), half away from zero, in one rounding of the double's shortest decimal
+    form, so that 1.005 gives 1.01 and 12.3449996 gives 12.34."""
+    return F.round(_c(c).cast("double"), 2)
 
 
 def r2_even(c: ColumnOrName) -> Column:
-    """Half-to-even rounding to 2 dp (what a numpy ``round`` does)."""
-    return F.bround(_c(c).cast("decimal(38,6)"), 2).cast("double")
+    """Half-to-even rounding to 2 dp as numpy's ``round`` does it: rint(100 x) / 100."""
+    return F.rint(_c(c).cast("double") * F.lit(100.0)) / F.lit(100.0)
 
 
 def ratio(num: ColumnOrName, den: ColumnOrName) -> Column:
@@ -79,3 +76,15 @@ def py_str_2dp(c: ColumnOrName) -> Column:
     """
     s = _c(c).cast("decimal(38,2)").cast("string")
     return F.regexp_replace(F.regexp_replace(s, "0+$", ""), r"\.$", ".0")
+
+
+def py_repr(c: ColumnOrName) -> Column:
+    """``str(float)`` of a value of magnitude 0 or below 1e7: plain down to 1e-4, then ``5e-05``.
+    (Spark's cast writes everything below 1e-3 with an exponent.)"""
+    s = _c(c).cast("double").cast("string")
+    mantissa = F.regexp_replace(F.regexp_extract(s, r"^-?([0-9.]+)E", 1), r"\.0$", "")
+    sign = F.regexp_extract(s, "^(-?)", 1)
+    exponent = F.regexp_extract(s, r"E-([0-9]+)$", 1)
+    return (F.when(s.endswith("E-4"), F.concat(sign, F.lit("0.000"), F.replace(mantissa, F.lit("."), F.lit(""))))
+            .when(exponent != "", F.concat(sign, mantissa, F.lit("e-"), F.when(F.length(exponent) < 2, F.lpad(exponent, 2, "0")).otherwise(exponent)))
+            .otherwise(s))

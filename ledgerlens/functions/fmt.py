@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -17,20 +19,53 @@ RUPEE = "₹"
 DASH = "—"
 
 
-def dec_round(c: ColumnOrName, digits: int) -> Column:
-    """Half-up rounding on the 6-dp decimal form — display digits agree across engines
-    (printf-style formatting of a raw double rounds ties differently per runtime)."""
-    return F.round(_c(c).cast("decimal(38,6)"), digits)
+SPLIT = 134217729.0  # 2^27 + 1 cuts a double into two halves whose small multiples are exact
+
+
+def _let(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), then), 0)
+
+
+def _units(x: Column, digits: int) -> Column:
+    """x * 10^digits rounded half-even on the exact binary value of x, as a whole double.
+
+    The product p of doubles may be off by a part of its last bit. Where p is exactly
+    half-way the sign of that error, computed without error, says which side x is on.
+    """
+    scale = F.lit(float(10 ** digits))
+    high = F.lit(SPLIT) * x - (F.lit(SPLIT) * x - x)
+    error = (high * scale - x * scale) + (x - high) * scale
+
+    def pick(p):
+        low = F.floor(p).cast("double")
+        tie = F.when(error < 0, low).when(error > 0, low + F.lit(1.0)).otherwise(F.rint(p))
+        return F.when(p - low == 0.5, tie).otherwise(F.rint(p))
+
+    return _let(x * scale, pick)
+
+
+def _formatted(c: ColumnOrName, digits: int, write) -> Column:
+    step = F.lit(Decimal(1).scaleb(-digits))
+
+    def text(x):
+        def of(k):
+            t = write((k.cast("decimal(20,0)") * step).cast(f"decimal({20 + digits},{digits})"))
+            return F.when((x < 0) & (k == 0), F.concat(F.lit("-"), t)).otherwise(t)
+
+        return _let(_units(x, digits), of)
+
+    return _let(_c(c).cast("double"), text)
 
 
 def fixed(c: ColumnOrName, digits: int) -> Column:
-    """``{x:.Nf}`` text (the rounded decimal has exactly N decimals)."""
-    return dec_round(c, digits).cast("string")
+    """``{x:.Nf}`` text as Python writes it: the exact binary value, ties to even."""
+    return _formatted(c, digits, lambda d: d.cast("string"))
 
 
 def fixed_commas(c: ColumnOrName, digits: int) -> Column:
     """``{x:,.Nf}`` text (thousands separators)."""
-    return F.format_number(dec_round(c, digits), digits)
+    return _formatted(c, digits, lambda d: F.format_number(d, digits))
 
 
 def fmt_inr(c: ColumnOrName) -> Column:

@@ -2,14 +2,12 @@
 
 Plan notes:
 
-* Fingerprint duplicates (F5) run in two phases. Phase 1 counts rows per
-  (user_id, payment_date, amount) with a map-side partial count — only a key
-  and a counter cross the shuffle, and a hot fingerprint is collapsed before
-  it. Phase 2 semi-joins payments to the (usually few) duplicate fingerprints on
-  a single 64-bit hash of the key — AQE broadcasts that side only when its
-  measured size is under the broadcast threshold, else it is a shuffle join with
-  skew splitting — and builds the id list for duplicate groups only, regrouping
-  on the exact keys (NULL user = NULL user, as SQL GROUP BY does).
+* Fingerprint duplicates (F5) run in two phases. Phase 1 counts rows per 64-bit
+  fingerprint hash with a map-side partial count, so a hash and a counter cross the
+  shuffle and a hot fingerprint is one row a map task. Phase 2 semi-joins payments to the
+  (usually few) repeated hashes (AQE broadcasts that side only when its measured size is
+  under the threshold) and regroups on the exact keys (NULL user = NULL user, as SQL
+  GROUP BY does). Top-k reports choose their groups by count before any id list is built.
 * Stale pendings (F6) are a LEFT ANTI join (not LEFT JOIN + IS NULL, which
   Spark would keep as an outer join plus filter) against events first reduced
   by a LEFT SEMI join to the pending ids, so the event table is never shuffled
@@ -55,22 +53,32 @@ def _fingerprint_hash():
     return F.xxhash64(*[F.col(k) for k in FINGERPRINT])
 
 
-def duplicate_groups(payments: DataFrame, with_gateway: bool = True) -> DataFrame:
+def duplicate_members(payments: DataFrame) -> DataFrame:
+    """Payments whose fingerprint hash occurs more than once (all duplicates; a hash
+    collision can let other rows through, so the exact keys decide afterwards)."""
+    hashed = payments.withColumn("_fp", _fingerprint_hash())
+    again = hashed.groupBy("_fp").agg(F.count("payment_id").alias("n")).where(F.col("n") > 1).select("_fp")
+    return hashed.join(again, "_fp", "left_semi").drop("_fp")
+
+
+def duplicate_groups(payments: DataFrame, with_gateway: bool = True, top: int | None = None) -> DataFrame:
     """Fingerprint groups with more than one payment id, with the sorted id list.
 
     Output: user_id, payment_date, amount (DOUBLE), duplicate_count, payment_ids[, gateway].
     ``gateway`` is the smallest gateway of the group (deterministic stand-in for an
-    arbitrary row's value).
+    arbitrary row's value). ``top``: only the first groups by count, amount, user and day;
+    they are chosen by their counts, and id lists are built for these alone.
     """
     keys = list(FINGERPRINT)
-    # Phase 1: exact counts per fingerprint; only the hashes of duplicate ones go on.
-    dup_hashes = (payments.groupBy(*keys).agg(F.count("payment_id").alias("n"))
-                  .where(F.col("n") > 1).select(_fingerprint_hash().alias("_fp")))
-    # Phase 2: payments whose fingerprint hash is a duplicate one (a single-column equi
-    # join). A hash collision can only let a non-duplicate row through; the exact
-    # regrouping below leaves it in a group of one, which the count filter drops.
-    members = (payments.withColumn("_fp", _fingerprint_hash())
-               .join(dup_hashes, "_fp", "left_semi").drop("_fp"))
+    members = duplicate_members(payments)
+    if top is not None:
+        first = (members.groupBy(*keys).agg(F.count("payment_id").alias("n")).where(F.col("n") > 1)
+                 .orderBy(F.desc("n"), F.desc("amount"), "user_id", "payment_date").limit(top)
+                 .select(*[F.col(k).alias(f"_{k}") for k in keys]))
+        same = F.lit(True)
+        for k in keys:
+            same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+        members = members.join(first, same, "left_semi")
     aggs = [F.count("payment_id").alias("duplicate_count"),
             F.array_join(F.array_sort(F.collect_list("payment_id")).cast("array<string>"), ",")
             .alias("payment_ids")]
@@ -142,8 +150,9 @@ class FailureMonitor:
         return {"detail": self.retry_detail(), "summary": self.retry_summary()}
 
     # -- F5 ------------------------------------------------------------------------------
-    def duplicate_transactions(self) -> DataFrame:
-        g = duplicate_groups(self.t.payments)
+    def duplicate_transactions(self, top: int | None = None) -> DataFrame:
+        """All duplicate groups, or the first ``top`` of them (a top-k report)."""
+        g = duplicate_groups(self.t.payments, top=top)
         return (g.select("user_id", "payment_date", "amount", "duplicate_count", "payment_ids", "gateway")
                 .orderBy(F.desc("duplicate_count"), F.desc("amount"), "user_id", "payment_date"))
 

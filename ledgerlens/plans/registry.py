@@ -214,14 +214,14 @@ def _views():
         "worst_status": lambda v, **_: V.worst_status(v.run_all_isolated()),
         "checks_display": lambda v, **_: V.checks_display(v.run_all_isolated()),
         "check_line": lambda v, **_: V.check_line(v.run_all_isolated()),
-        "duplicates_top15": lambda f, **_: V.head(f.duplicate_transactions(), 15),
+        "duplicates_top15": lambda f, **_: f.duplicate_transactions(top=15),
         "gateway_revenue_display": lambda m, **_: V.rename_for_display(m.revenue_by_gateway(),
                                                                        V.GATEWAY_REVENUE_LABELS),
         "cohort_lifetime_display": lambda c, **_: V.rename_for_display(c.cohort_lifetime(),
                                                                        V.COHORT_LIFETIME_LABELS),
         "failure_monitor_display": lambda f, **_: V.rename_for_display(f.failure_monitor(),
                                                                        V.FAILURE_MONITOR_LABELS),
-        "duplicates_display": lambda f, **_: V.rename_for_display(V.head(f.duplicate_transactions(), 15),
+        "duplicates_display": lambda f, **_: V.rename_for_display(f.duplicate_transactions(top=15),
                                                                   V.DUPLICATE_LABELS),
         "null_scan_display": lambda v, **_: V.rename_for_display(V.null_pct(v.null_scan()), V.NULL_SCAN_LABELS),
         "kpi_header": lambda m, **_: V.kpi_header(m.top_summary()),
@@ -236,7 +236,7 @@ def _views():
         "failure_monitor_top8": lambda f, **_: V.head(f.failure_monitor(), 8),
         "retry_detail_head10": lambda f, **_: V.head(f.retry_detail(), 10),
         "leakage_top10": lambda f, **_: V.head(f.revenue_leakage(), 10),
-        "duplicates_top5": lambda f, **_: V.head(f.duplicate_transactions(), 5),
+        "duplicates_top5": lambda f, **_: f.duplicate_transactions(top=5),
     }
 
 

@@ -2,20 +2,23 @@
 
 The oracle strings are an independent statement of each operator's semantics in
 plain SQL, run by DuckDB on the same Parquet tables. They share the fixture
-binding as a CTE prelude and the same rounding/ratio conventions as
-``ledgerlens.functions.expr`` (ROUND on the 6-dp decimal form; ratios in DOUBLE
-with NULLIF on the divisor; money sums exact in DECIMAL, DOUBLE at the edge).
+binding as a CTE prelude and the conventions of ``ledgerlens.functions.expr`` (one
+rounding; ratios in DOUBLE with NULLIF on the divisor; money sums exact in DECIMAL,
+DOUBLE at the edge). Display text is DuckDB's own ``format``.
 """
 
 from __future__ import annotations
 
 
 def R2(x: str) -> str:
-    return f"CAST(ROUND(CAST(({x}) AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    """Half-up in one rounding of the double's shortest decimal text."""
+    return f"CAST(ROUND(CAST(CAST(CAST(({x}) AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18)), 2) AS DOUBLE)"
 
 
 def R2E(x: str) -> str:
-    return f"CAST(ROUND_EVEN(CAST(({x}) AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    """Whole hundredths of 100 x, ties to the even one, over 100."""
+    v = f"(CAST(({x}) AS DOUBLE) * 100.0)"
+    return f"(CASE WHEN {v} - floor({v}) = 0.5 THEN 2.0 * round({v} / 2.0) ELSE round({v}) END / CAST(100 AS DOUBLE))"
 
 
 def RATIO(n: str, d: str) -> str:

@@ -7,11 +7,14 @@ silent NULLs.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType, StringType, StructField, StructType
 
 from ledgerlens.schema import TABLE_SCHEMAS
 
+READ_SCALE = 20  # decimals are read with this many places, then held against the column's own
+
 
 def _exists(spark: SparkSession, path: str) -> bool:
     """Path existence through the Hadoop file system of the session (any scheme)."""
@@ -27,11 +30,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = None,
-             table: str | None = None) -> DataFrame:
+             table: str | None = None, lenient_dates: tuple[str, ...] = ()) -> DataFrame:
     """Read a header CSV (file or folder of part files) with a fixed schema.
 
     ``schema`` defaults to the domain schema of ``table``. A missing path raises
-    ``FileNotFoundError``.
+    ``FileNotFoundError``. A decimal with more places than its column holds fails the read
+    instead of being rounded. Dates in ``lenient_dates`` that don't parse become NULL.
     """
     if schema is None:
         if table not in TABLE_SCHEMAS:
@@ -39,12 +43,30 @@ def read_csv(spark: SparkSession, path: str, schema: StructType | str | None = N
         schema = TABLE_SCHEMAS[table]
     if not _exists(spark, path):
         raise FileNotFoundError(f"CSV not found: {path}")
-    return (spark.read.schema(schema)
-            .option("header", True)
-            .option("nullValue", "")
-            .option("mode", "FAILFAST")
-            .option("dateFormat", "yyyy-MM-dd")
-            .csv(path))
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    raw = (spark.read.schema(StructType([_as_read(f, lenient_dates) for f in schema]))
+           .option("header", True)
+           .option("nullValue", "")
+           .option("mode", "FAILFAST")
+           .option("dateFormat", "yyyy-MM-dd")
+           .csv(path))
+    return raw.select(*[_as_declared(f, lenient_dates).alias(f.name) for f in schema])
+
+
+def _as_read(f: StructField, lenient_dates: tuple[str, ...]) -> StructField:
+    if isinstance(f.dataType, DecimalType):
+        return StructField(f.name, DecimalType(38, READ_SCALE), f.nullable)
+    return StructField(f.name, StringType(), f.nullable) if f.name in lenient_dates else f
+
+
+def _as_declared(f: StructField, lenient_dates: tuple[str, ...]) -> Column:
+    c = F.col(f"`{f.name}`")
+    if isinstance(f.dataType, DecimalType):
+        exact = c.cast(f.dataType)
+        too_fine = F.raise_error(F.concat(F.lit(f"{f.name}: more decimal places than {f.dataType.scale}: "), c.cast("string")))
+        return F.when(c.isNull() | (c == exact), exact).otherwise(too_fine.cast(f.dataType))
+    return F.try_to_date(c, "yyyy-MM-dd") if f.name in lenient_dates else c
 
 
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> str:

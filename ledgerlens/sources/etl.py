@@ -39,6 +39,8 @@ LOAD_PLAN = (
 EVENT_TYPE_BY_STATUS = {"success": "payment_received", "failed": "payment_received",
                         "pending": "payment_received", "refunded": "refund_issued"}
 DEFAULT_EVENT_TYPE = "payment_received"
+# A recovery date that does not parse is loaded as NULL and gives no retry event.
+LENIENT_DATES = {"payment_failures": ("recovery_date",)}
 RETRY_EVENT_TYPE = "retry_success"
 UNKNOWN_REASON = "unknown"
 
@@ -64,7 +66,8 @@ def load_table(spark: SparkSession, csv_path: str, root: str, table: str, skip_t
     """
     from pyspark.sql import Observation
 
-    src = read_csv(spark, csv_path, schema=schema, table=None if schema is not None else table)
+    src = read_csv(spark, csv_path, schema=schema, table=None if schema is not None else table,
+                   lenient_dates=LENIENT_DATES.get(table, ()))
     obs = Observation(f"load_{table}")
     counted = src.observe(obs, F.count(F.lit(1)).alias("rows"))
     if skip_truncate:

@@ -258,3 +258,51 @@ def test_null_group_keys_form_groups(spark):
     assert (f["ALL GATEWAYS"]["total"], f["ALL GATEWAYS"]["failed"]) == (4, 1)
     months = by(m.monthly_revenue(), "month")
     assert months[None]["revenue"] == 13.0 and months["2024-01"]["revenue"] == 16.0
+
+
+def test_single_rounding_and_python_text(spark):
+    """One rounding; display text as Python writes the exact binary value."""
+    from ledgerlens.functions.expr import py_repr
+    from ledgerlens.functions.fmt import fixed, fixed_commas
+
+    xs = [12.3449996, 33.3349999, 0.0049997, 53.65, 53.55, 0.05, 0.15, 0.25, 0.35, 2.5, 3.5, 1e7 + 0.5, 1234567.125, 1234567.135,
+          -0.04, -53.65, 0.0, 99.95, 1 / 3, 17090.33, 1.005]
+    df = spark.createDataFrame([(x,) for x in xs], "x double")
+    got = df.select("x", r2("x").alias("r"), *[fixed("x", d).alias(f"f{d}") for d in (1, 2)], fixed_commas("x", 2).alias("c2"), fixed_commas("x", 0).alias("c0")).collect()
+    assert [g.f1 for g in got] == [f"{x:.1f}" for x in xs]
+    assert [g.f2 for g in got] == [f"{x:.2f}" for x in xs]
+    assert [g.c2 for g in got] == [f"{x:,.2f}" for x in xs]
+    assert [g.c0 for g in got] == [f"{x:,.0f}" for x in xs]
+    assert {g.x: g.r for g in got}[12.3449996] == 12.34
+    assert {g.x: g.r for g in got}[33.3349999] == 33.33
+    assert {g.x: g.r for g in got}[0.0049997] == 0.0
+    rates = [1 / 2001, 0.0005, 0.0001, 0.001, 0.05, 0.0, 5e-05, 4.9975e-05, 1.25e-11, 0.5]
+    df = spark.createDataFrame([(x,) for x in rates], "x double")
+    assert [g.t for g in df.select(py_repr("x").alias("t")).collect()] == [str(x) for x in rates]
+
+
+def test_csv_refuses_finer_amounts_and_tolerates_recovery_dates(spark, tmp_path):
+    from ledgerlens.sources.csv import read_csv
+
+    p = tmp_path / "payments.csv"
+    p.write_text("payment_id,user_id,payment_date,amount,status,gateway,failure_reason\n"
+                 "1,7,2024-01-02,199.995,success,stripe,\n")
+    with pytest.raises(Exception, match="more decimal places"):
+        read_csv(spark, str(p), table="payments").collect()
+    f = tmp_path / "payment_failures.csv"
+    f.write_text("failure_id,payment_id,user_id,failure_date,failure_reason,gateway,amount,recovered,recovery_date,recovery_amount\n"
+                 "f1,1,7,2024-01-02,x,stripe,5.5,1,soon,5.5\nf2,1,7,2024-01-02,x,stripe,5.5,1,2024-01-09,5.50\n")
+    rows = read_csv(spark, str(f), table="payment_failures", lenient_dates=("recovery_date",)).collect()
+    assert [r.recovery_date for r in rows] == [None, dt.date(2024, 1, 9)]
+    with pytest.raises(Exception):
+        read_csv(spark, str(f), table="payment_failures").collect()
+
+
+def test_duplicate_top_lists_only_the_chosen_groups(spark):
+    ps = [pay(i, None, "2024-01-05", 10) for i in range(5)] + [pay(10 + i, 1, "2024-01-05", 20) for i in range(2)] + [
+        pay(20 + i, 2, "2024-01-05", 30) for i in range(2)] + [pay(30, 3, "2024-01-05", 40)]
+    t = make_tables(spark, users=[user(1, "2024-01-01")], payments=ps)
+    f = FailureMonitor(t)
+    every = [tuple(r) for r in f.duplicate_transactions().collect()]
+    assert [tuple(r) for r in f.duplicate_transactions(top=2).collect()] == every[:2]
+    assert [r.duplicate_count for r in Validator(t, AS_OF).duplicates_detail(limit=3).collect()] == [5, 2, 2]
