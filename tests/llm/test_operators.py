@@ -315,3 +315,12 @@ def test_pipeline_keeps_columns_and_nulls(spark, tmp_path):
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in out.collect()} <= {0, 2} and "start" in out.columns
     assert len(corpus_pipeline.STAGES) == 5
+
+
+@pytest.mark.parametrize("operator", ["licenses", "syncmers", "decontaminate"])
+def test_native_operators_run_no_python(docs, spark, operator):
+    """Operators 4, 6 and 9 plan no Python, pandas or Arrow step and scan no RDD of rows made in Python."""
+    bench = spark.createDataFrame([(1, " ".join(WORDS))], "item_id long, text string")
+    frame = {"licenses": licenses.scan, "syncmers": syncmers.fingerprints, "decontaminate": lambda d: decontaminate.overlaps(d, bench)}[operator](docs)
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|InPandas|InArrow", plan)
