@@ -11,9 +11,9 @@ Plan notes:
 * The join side ``users`` is the dimension; no broadcast hint is forced — AQE
   turns the sort-merge join into a broadcast only when the measured size of
   the users side is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``.
-* The matrix is the pivot written as one conditional aggregate per cohort over
-  the per-user-month rows (offsets 0..max_months fixed), so it needs one shuffle
-  after the join instead of the three of ``groupBy().pivot()`` on the long form.
+* The matrix sums once per (cohort, offset), and only those few rows are pivoted by
+  conditional aggregates (offsets 0..max_months fixed): one decimal sum per
+  per-user-month row instead of one per cell.
 * ``cohort_arpu`` and ``cohort_lifetime`` share one users ⟕ per-user-revenue pass.
 """
 
@@ -79,13 +79,13 @@ class CohortEngine:
     def cohort_revenue_matrix(self, max_months: int | None = None) -> DataFrame:
         """cohort_month, m0..mN: revenue by months since signup, 0 where a cohort had none.
 
-        Cohorts whose revenue all falls after month N are absent. One conditional
-        aggregate per cohort over the per-user-month rows (the pivot written out):
-        each offset is one calendar month of the cohort, so a cell is the exact
-        decimal sum of that month, as in the long form.
+        Cohorts whose revenue all falls after month N are absent. Each offset is one
+        calendar month of the cohort, so a cell is the exact decimal sum of that month,
+        as in the long form.
         """
         n = self.params.max_months if max_months is None else max_months
-        rows = self._cohort_month_rows().where(F.col("months_since_signup") <= n)
+        rows = (self._cohort_month_rows().where(F.col("months_since_signup") <= n)
+                .groupBy("cohort_month", "months_since_signup").agg(F.sum("rev").alias("rev")))
         off = F.col("months_since_signup")
         cells = [F.coalesce(F.sum(F.when(off == k, F.col("rev"))), F.lit(0)).cast("double").alias(f"m{k}")
                  for k in range(n + 1)]

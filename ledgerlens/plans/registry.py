@@ -121,6 +121,64 @@ def q_load_table(spark, d):
     return read_table(spark, root, "applications")
 
 
+def _applications_csv(spark, d):
+    """The bound applications as a CSV, and an empty store to load it into."""
+    from ledgerlens.sources.csv import write_csv
+
+    apps = bound(spark, d).applications
+    return apps, write_csv(apps, _scratch(spark, "applications-csv")), _scratch(spark, "store")
+
+
+def q_truncate_table(spark, d):
+    """Rows of a loaded table before and after it is emptied."""
+    from ledgerlens.sources.etl import load_table
+    from ledgerlens.sources.tables import read_table, truncate_table
+
+    apps, csv_path, root = _applications_csv(spark, d)
+    before = load_table(spark, csv_path, root, "applications", schema=apps.schema)
+    truncate_table(spark, root, "applications")
+    return read_table(spark, root, "applications").agg(
+        F.lit("applications").alias("table_name"), F.lit(before).cast("bigint").alias("rows_before"),
+        F.count(F.lit(1)).alias("rows_after"))
+
+
+def q_append_mode(spark, d):
+    """A refresh and then a load that keeps the rows: every row twice."""
+    from ledgerlens.sources.etl import load_table
+    from ledgerlens.sources.tables import read_table
+
+    apps, csv_path, root = _applications_csv(spark, d)
+    for keep in (False, True):
+        if load_table(spark, csv_path, root, "applications", skip_truncate=keep, schema=apps.schema) < 0:
+            raise RuntimeError("applications: stored row count differs from the source")
+    return read_table(spark, root, "applications")
+
+
+def q_validate_load(spark, d):
+    """The stored count held against the source's count, and against one row more."""
+    from ledgerlens.sources.etl import load_table, validate_load
+    from ledgerlens.sources.tables import read_table
+
+    apps, csv_path, root = _applications_csv(spark, d)
+    load_table(spark, csv_path, root, "applications", schema=apps.schema)
+    n = apps.count()
+    found = [F.lit(validate_load(spark, root, "applications", k)) for k in (n, n + 1)]
+    return read_table(spark, root, "applications").agg(
+        F.lit("applications").alias("table_name"), F.count(F.lit(1)).alias("stored_rows"),
+        found[0].alias("ok"), found[1].alias("ok_with_one_more"))
+
+
+def q_save_datasets(spark, d):
+    """The five tables saved as CSVs, read back and counted."""
+    from ledgerlens.sources.csv import read_csv, save_datasets
+    from ledgerlens.sources.etl import post_load_counts
+    from ledgerlens.sources.tables import Tables
+
+    t = bound(spark, d).as_dict()
+    paths = save_datasets(t, _scratch(spark, "datasets"))
+    return post_load_counts(Tables(**{n: read_csv(spark, paths[n], schema=df.schema) for n, df in t.items()}))
+
+
 def q_load_all(spark, d):
     """Bound tables exported as CSVs (events without the retry_success rows, which the
     load derives) → ``load_all`` into a fresh store → row counts of the stored tables."""
@@ -176,6 +234,10 @@ def _export(which: str) -> QueryFn:
 _reg("src_csv", q_src_csv)
 _reg("src_table", q_src_table)
 _reg("load_table", q_load_table)
+_reg("truncate_table", q_truncate_table)
+_reg("append_mode", q_append_mode)
+_reg("validate_load", q_validate_load)
+_reg("save_datasets", q_save_datasets)
 _reg("load_all", q_load_all)
 _reg("post_load_counts", _etl("post_load_counts"))
 _reg("retry_success_events", _etl("retry_success_events", "payment_failures"))
