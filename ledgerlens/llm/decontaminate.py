@@ -4,8 +4,13 @@ A fixed mask selects some of the next ``span`` words and ignores the others, so
 still hits when an ignored word was substituted. The hashes of the selected words of every
 position, for every mask, are joined between the documents and the benchmark items. A hit
 fixes an alignment (document position minus item position); each alignment is verified on
-the words themselves: +1 for an equal word, -2 for a substituted one, and the best
-segment must reach ``least`` (or every word of a shorter item).
+the words themselves. It counts if ``need`` equal words stand in a run of at most
+``need / 0.7`` aligned words, where ``need`` is the smaller of ``least`` and 70% of the item,
+but not under FLOOR words (or every word of a shorter item), which keeps chance hits out.
+The score of the best segment (+1 for an equal word, -2 for a substituted one) is reported.
+
+An item of 10 words or more with one or two substituted words anywhere always has a seed;
+with more substitutions a seed is found unless they hit every mask at every place.
 
 Before hashing, words whose hash is not in a fixed-size bit table of the benchmark's words
 become NULL: a position can only hit if all its selected words are known, so nearly all
@@ -30,8 +35,10 @@ from pyspark.sql import functions as F
 from ledgerlens.llm.common import NOT_WORD, ascii_lower, split_words, stored, text_or_empty
 from ledgerlens.llm.syncmers import let
 
-# Selected places of each mask (span 9, weight 6).
-MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 8), (0, 2, 3, 4, 6, 8))
+# Selected places of each mask (weight 6, span 9; the last without gaps, for two substitutions side by side in a short item).
+MASKS = ((0, 1, 2, 4, 7, 8), (0, 1, 3, 5, 6, 8), (0, 2, 3, 4, 6, 8), (0, 1, 2, 3, 4, 5))
+# Equal words in ten that a run must have, and the fewest equal words that count.
+SHARE, FLOOR = 7, 8
 TABLE_BITS = 1 << 20
 BROADCAST_SEEDS = 1_000_000
 
@@ -74,25 +81,36 @@ def seeds(words: DataFrame, masks: list[tuple[int, ...]], table: Column | None)
     return words.select("id", "h", F.explode(all_seeds).alias("s")).select("id", "h", "s.at", "s.seed")
 
 
-def best_segment(doc: Column, item: Column, shift: Column) -> Column:
-    """struct(score, matched): the best run of aligned words, +1 equal, -2 not."""
-    none = F.struct(F.lit(0).alias("now"), F.lit(0).alias("n"), F.lit(0).alias("score"), F.lit(0).alias("matched"))
+def needed(n: Column, least: int) -> Column:
+    """Equal words that an alignment with an item of ``n`` words must have."""
+    return F.greatest(F.least(F.lit(least), F.ceil(n * SHARE / 10)), F.least(F.lit(min(least, FLOOR)), n)).cast("int")
 
-    def step(acc: Column, i: Column) -> Column:
+
+def best_segment(doc: Column, item: Column, shift: Column, span: Column) -> Column:
+    """struct(score, matched, most): the best run of aligned words, +1 equal, -2 not, and the
+    most equal words in a run of ``span``."""
+    names = ("now", "n", "score", "matched", "run", "most")
+    none = F.struct(*(F.lit(0).alias(c) for c in names))
+
+    def equal(i: Column) -> Column:
         at = i + shift
-        same = (at >= 0) & F.coalesce(F.get(doc, F.greatest(at, F.lit(0))) == F.get(item, i), F.lit(False))
+        return (i >= 0) & (at >= 0) & F.coalesce(F.get(doc, F.greatest(at, F.lit(0))) == F.get(item, F.greatest(i, F.lit(0))), F.lit(False))
+
+    def step(acc: Column, i: Column) -> Column:
+        same = equal(i)
         now = F.greatest(acc["now"] + F.when(same, 1).otherwise(-2), F.lit(0))
         n = F.when(now == 0, F.lit(0)).otherwise(acc["n"] + same.cast("int"))
         better = now > acc["score"]
-        return F.struct(now.alias("now"), n.alias("n"), F.when(better, now).otherwise(acc["score"]).alias("score"),
-                        F.when(better, n).otherwise(acc["matched"]).alias("matched"))
+        run = acc["run"] + same.cast("int") - equal(i - span).cast("int")
+        values = (now, n, F.when(better, now).otherwise(acc["score"]), F.when(better, n).otherwise(acc["matched"]), run, F.greatest(acc["most"], run))
+        return F.struct(*(v.alias(c) for v, c in zip(values, names, strict=True)))
 
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), none, step)
 
 
 def overlaps(docs: DataFrame, items: DataFrame, least: int = 13, masks=MASKS) -> DataFrame:
-    """doc_id, item_id, matched (equal words of the best segment), score, item_words, shift:
-    one row per document and item that it holds."""
+    """doc_id, item_id, matched (equal words of the best segment, or of the best run if more),
+    score, item_words, shift: one row per document and item that it holds."""
     item_words = stored(worded(items, "item_id").where(F.size("words") > 0).withColumn("h", F.xxhash64("words")).distinct(), "items")
     doc_words = worded(docs, "doc_id").withColumn("h", F.xxhash64("words"))
     span = max(m[-1] for m in masks) + 1
@@ -107,11 +125,12 @@ def overlaps(docs: DataFrame, items: DataFrame, least: int = 13, masks=MASKS) ->
     on_doc = doc_words.join(hits, doc_words["id"].eqNullSafe(hits["hit_id"]) & (doc_words["h"] == hits["hit_h"]))
     i = item_words.select(F.col("id").alias("i_id"), F.col("h").alias("i_h"), F.col("words").alias("i_words"))
     both = on_doc.join(i, on_doc["item_id"].eqNullSafe(i["i_id"]) & (on_doc["item_h"] == i["i_h"]))
-    scored = both.select(F.col("id").alias("doc_id"), "item_id", "shift", F.size("i_words").alias("item_words"),
-                         best_segment(F.col("words"), F.col("i_words"), F.col("shift")).alias("best"))
-    enough = scored.where(F.col("best.score") >= F.least(F.lit(least), F.col("item_words")))
+    both = both.withColumn("item_words", F.size("i_words")).withColumn("need", needed(F.col("item_words"), least))
+    scored = both.select(F.col("id").alias("doc_id"), "item_id", "shift", "item_words", "need",
+                         best_segment(F.col("words"), F.col("i_words"), F.col("shift"), F.floor(F.col("need") * 10 / SHARE).cast("int")).alias("best"))
+    enough = scored.where(F.col("best.most") >= F.col("need"))
     return (enough.groupBy("doc_id", "item_id")
-            .agg(F.max(F.struct("best.score", "best.matched", "item_words", (-F.col("shift")).alias("back"))).alias("m"))
+            .agg(F.max(F.struct("best.score", F.greatest("best.matched", "best.most").alias("matched"), "item_words", (-F.col("shift")).alias("back"))).alias("m"))
             .select("doc_id", "item_id", F.col("m.matched").cast("long").alias("matched"), F.col("m.score").cast("long").alias("score"),
                     F.col("m.item_words").cast("long").alias("item_words"), (-F.col("m.back")).cast("long").alias("shift")))
 

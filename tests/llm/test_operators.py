@@ -4,6 +4,7 @@ NULLs in any column, empty and very long texts, ties, repeated rows, clashing ex
 from __future__ import annotations
 
 import hashlib
+import itertools
 import random
 import re
 import zlib
@@ -272,6 +273,41 @@ def test_decontamination(spark, docs, none):
     assert decontaminate.overlaps(none, bench).count() == 0 and decontaminate.overlaps(frame, none.withColumn("item_id", F.lit(1).cast("long"))).count() == 0
 
 
+def leaks(doc, item, least=13):
+    """The most equal words in a run of aligned words (over all alignments) that is short enough to count, by brute force."""
+    need = max(min(least, -(-7 * len(item) // 10)), min(8, len(item)))
+    span = need * 10 // 7
+    best = 0
+    for shift in range(1 - len(item), len(doc)):
+        same = [0 <= i + shift < len(doc) and doc[i + shift] == w for i, w in enumerate(item)]
+        best = max(best, *(sum(same[i:i + span]) for i in range(len(item))))
+    return best >= need
+
+
+def test_decontamination_finds_substituted_words_in_short_items(spark):
+    rnd = random.Random(9)
+    items = [[f"q{n}x{k}" for k in range(n)] for n in (5, 8, 9, 12, 15, 18, 40)]
+    noise = [f"n{k}" for k in range(30)]
+    texts = []
+    for item in items:
+        n = len(item)
+        places = [*itertools.combinations(range(n), 1), *itertools.combinations(range(n), 2)]
+        for at in places if n < 40 else rnd.sample(places, 20):
+            texts.append([*noise[:5], *("sub" if k in at else w for k, w in enumerate(item)), *noise[5:]])
+        for k in (4, 6, 8):
+            at = rnd.sample(range(n), min(k, n))
+            texts.append([*noise, *("sub" if k in at else w for k, w in enumerate(item))])
+    for size, gone in ((12, 0), (13, 0), (14, 1), (15, 2), (20, 8)):
+        texts.append([*noise, *("sub" if k in range(4, 4 + gone) else w for k, w in enumerate(items[-1][7:7 + size]))])
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(len(i), " ".join(i)) for i in items], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.overlaps(frame, bench).collect()}
+    want = {(k, len(i)) for k, t in enumerate(texts) for i in items if leaks(t, i)}
+    few = {(k, n) for k, n in want if texts[k].count("sub") <= 2}  # more substitutions: as the seeds reach
+    assert few <= got <= want and len(few) > 400
+    assert not {(k, n) for k, n in got if texts[k].count("sub") and n < 9}
+
+
 def test_ordinal_held_out(spark):
     rnd = random.Random(4)
     plain = [f"p{k}" for k in range(300)]
