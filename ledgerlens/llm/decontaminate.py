@@ -43,8 +43,8 @@ TABLE_BITS = 1 << 20
 BROADCAST_SEEDS = 1_000_000
 
 
-def worded(rows: DataFrame, id_col: str) -> DataFrame:
-    return rows.select(F.col(id_col).alias("id"), split_words(ascii_lower(text_or_empty()), NOT_WORD).alias("words"))
+def worded(rows: DataFrame, id_col: str, *more: Column) -> DataFrame:
+    return rows.select(F.col(id_col).alias("id"), split_words(ascii_lower(text_or_empty()), NOT_WORD).alias("words"), *more)
 
 
 def known_words(items: DataFrame) -> Column:
@@ -108,11 +108,14 @@ def best_segment(doc: Column, item: Column, shift: Column, span: Column) -> Colu
     return F.aggregate(F.sequence(F.lit(0), F.size(item) - 1), none, step)
 
 
-def overlaps(docs: DataFrame, items: DataFrame, least: int = 13, masks=MASKS) -> DataFrame:
-    """doc_id, item_id, matched (equal words of the best segment, or of the best run if more),
-    score, item_words, shift: one row per document and item that it holds."""
+def text_hash() -> Column:
+    return F.xxhash64(text_or_empty())
+
+
+def alignments(docs: DataFrame, items: DataFrame, least: int, masks) -> DataFrame:
+    """doc_id, h (hash of the document's text), item_id, shift, item_words, need, best: every alignment that counts."""
     item_words = stored(worded(items, "item_id").where(F.size("words") > 0).withColumn("h", F.xxhash64("words")).distinct(), "items")
-    doc_words = worded(docs, "doc_id").withColumn("h", F.xxhash64("words"))
+    doc_words = worded(docs, "doc_id", text_hash().alias("h"))
     span = max(m[-1] for m in masks) + 1
     short = [r.n for r in item_words.select(F.size("words").alias("n")).where(F.col("n") < span).distinct().collect()]  # fewer than a span
     every = [*masks, *(tuple(range(n)) for n in sorted(short))]
@@ -126,16 +129,24 @@ def overlaps(docs: DataFrame, items: DataFrame, least: int = 13, masks=MASKS) ->
     i = item_words.select(F.col("id").alias("i_id"), F.col("h").alias("i_h"), F.col("words").alias("i_words"))
     both = on_doc.join(i, on_doc["item_id"].eqNullSafe(i["i_id"]) & (on_doc["item_h"] == i["i_h"]))
     both = both.withColumn("item_words", F.size("i_words")).withColumn("need", needed(F.col("item_words"), least))
-    scored = both.select(F.col("id").alias("doc_id"), "item_id", "shift", "item_words", "need",
+    scored = both.select(F.col("id").alias("doc_id"), on_doc["h"], "item_id", "shift", "item_words", "need",
                          best_segment(F.col("words"), F.col("i_words"), F.col("shift"), F.floor(F.col("need") * 10 / SHARE).cast("int")).alias("best"))
-    enough = scored.where(F.col("best.most") >= F.col("need"))
-    return (enough.groupBy("doc_id", "item_id")
+    return scored.where(F.col("best.most") >= F.col("need"))
+
+
+def overlaps(docs: DataFrame, items: DataFrame, least: int = 13, masks=MASKS) -> DataFrame:
+    """doc_id, item_id, matched (equal words of the best segment, or of the best run if more),
+    score, item_words, shift: one row per document and item that it holds."""
+    return (alignments(docs, items, least, masks).groupBy("doc_id", "item_id")
             .agg(F.max(F.struct("best.score", F.greatest("best.matched", "best.most").alias("matched"), "item_words", (-F.col("shift")).alias("back"))).alias("m"))
             .select("doc_id", "item_id", F.col("m.matched").cast("long").alias("matched"), F.col("m.score").cast("long").alias("score"),
                     F.col("m.item_words").cast("long").alias("item_words"), (-F.col("m.back")).cast("long").alias("shift")))
 
 
 def clean(docs: DataFrame, items: DataFrame, least: int = 13) -> DataFrame:
-    """The documents that hold no benchmark passage, all columns."""
-    leaked = stored(overlaps(docs, items, least).select(F.col("doc_id").alias("_leaked")).distinct(), "leaked")
-    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked"]), "left_anti")
+    """The documents that hold no benchmark passage, all columns. Rows of one doc_id are one
+    document and go together; a NULL id names no document, so such a row goes by its own text."""
+    own = lambda id_col, h: F.when(id_col.isNull(), h)
+    leaked = alignments(docs, items, least, MASKS).select(F.col("doc_id").alias("_leaked"), own(F.col("doc_id"), F.col("h")).alias("_text"))
+    leaked = stored(leaked.distinct(), "leaked")
+    return docs.join(leaked, docs["doc_id"].eqNullSafe(leaked["_leaked"]) & own(docs["doc_id"], text_hash()).eqNullSafe(leaked["_text"]), "left_anti")

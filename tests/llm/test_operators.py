@@ -308,6 +308,16 @@ def test_decontamination_finds_substituted_words_in_short_items(spark):
     assert not {(k, n) for k, n in got if texts[k].count("sub") and n < 9}
 
 
+def test_clean_keeps_the_clean_rows_without_id(spark):
+    passage = " ".join(f"q{k}" for k in range(20))
+    texts = [(None, f"a b {passage}"), (None, "clean one"), (None, None), (None, "clean one"), (None, passage.upper()), (3, "clean two"), (4, passage), (5, "clean three")]
+    frame = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, h string")
+    bench = spark.createDataFrame([(1, passage)], "item_id long, text string")
+    want = Counter(t for t in texts if "q0" not in (t[1] or "").lower())
+    kept = decontaminate.clean(frame, bench)
+    assert kept.columns == frame.columns and Counter((r.doc_id, r.text) for r in kept.collect()) == want
+
+
 def test_ordinal_held_out(spark):
     rnd = random.Random(4)
     plain = [f"p{k}" for k in range(300)]
