@@ -5,9 +5,11 @@ an anchor if the smallest hash of its inner S-mers stands at its first or last p
 Whether a k-mer is an anchor depends on its own words alone, so an edit moves anchors only
 where it changes words, and texts can be matched by equal anchors and their positions.
 
-The fingerprint keeps the ``size`` smallest anchor hashes of the whole text with the word
-position of their first place; likeness is the bottom-k estimate of the share of common
-anchors (exact while both texts have at most ``size``).
+The fingerprint holds every anchor of the text by position. Likeness is the share of common
+distinct anchors, and ``aligned`` the number of them whose first places differ by one common
+offset, both from all anchors of both texts: one sort of the two anchor lists, linear in
+their length otherwise. The anchor lists are about as large as the text, so only texts are shuffled.
+A sketch (the ``size`` smallest hashes at their first place) is an extra column; nothing is computed from it.
 
 Fewer words than K: one anchor over all of them; no words: none. Everything is row by
 row except the successor of a document in id order: rows are cut into id ranges at
@@ -63,34 +65,50 @@ def anchors(text: Column, k: int = K, s: int = S) -> Column:
     return let(F.transform(split_words(text, ASCII_SPACE), lambda w: F.xxhash64(w)), of_words)
 
 
-def sketch(text: Column, size: int = SIZE) -> Column:
+def sketch(a: Column, size: int = SIZE) -> Column:
     """array<struct<hash, at>>: the smallest distinct anchor hashes, ascending, at their first place."""
-    def low(a: Column) -> Column:
-        return let(F.transform(a, lambda x: x["hash"]), lambda h: F.transform(
-            F.slice(F.sort_array(F.array_distinct(h)), 1, size),
-            lambda x: F.struct(x.alias("hash"), F.get(a, (F.array_position(h, x) - 1).cast("int"))["at"].alias("at"))))
+    # Ascending by hash, then place: the first of each hash stands at its first place.
+    return let(F.sort_array(a), lambda c: F.slice(F.filter(c, lambda x, i: ~F.coalesce(F.get(c, i - 1)["hash"] == x["hash"], F.lit(False))), 1, size))
 
-    return let(anchors(text), low)
 
+def compared(a: Column, b: Column) -> Column:
+    """struct(likeness, aligned) of two anchor lists: the share of common distinct anchors, 0 to 1,
+    and the most common anchors whose first places differ by the same offset."""
+    def side(c: Column, k: int) -> Column:
+        return F.transform(c, lambda x: F.struct(x["hash"].alias("hash"), F.lit(k).alias("side"), x["at"].alias("at")))
 
-def hashes(sk: Column) -> Column:
-    return F.transform(sk, lambda x: x["hash"])
+    def firsts(c: Column) -> Column:
+        def again(x: Column, i: Column) -> Column:
+            before = F.get(c, i - 1)
+            return F.coalesce((before["hash"] == x["hash"]) & (before["side"] == x["side"]), F.lit(False))
 
+        return F.filter(c, lambda x, i: ~again(x, i))
 
-def likeness(a: Column, b: Column, size: int = SIZE) -> Column:
-    """Share of common anchors of two sketches, 0 to 1."""
-    both = F.slice(F.sort_array(F.array_union(hashes(a), hashes(b))), 1, size)
-    common = F.size(F.array_intersect(F.array_intersect(both, hashes(a)), hashes(b)))
-    return F.when(F.size(both) == 0, F.lit(1.0)).otherwise(common / F.size(both))
+    def offsets(f: Column) -> Column:
+        step = F.transform(f, lambda x, i: let(F.get(f, i - 1), lambda before: F.when(before["hash"] == x["hash"], x["at"] - before["at"])))
+        return F.sort_array(F.filter(step, lambda o: o.isNotNull()))
 
+    def longest_run(o: Column) -> Column:
+        none = F.struct(F.lit(None).cast("int").alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most"))
 
-def aligned(a: Column, b: Column) -> Column:
-    """Anchors that stand at the same word position in both sketches."""
-    return F.size(F.array_intersect(a, b)).cast("long")
+        def step(acc: Column, x: Column) -> Column:
+            run = F.when(acc["last"] == x, acc["run"] + 1).otherwise(1)
+            return F.struct(x.alias("last"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
+
+        return F.aggregate(o, none, step, lambda acc: acc["most"])
+
+    def of(f: Column) -> Column:
+        def result(o: Column) -> Column:
+            union = F.size(f) - F.size(o)
+            return F.struct(F.when(union == 0, F.lit(1.0)).otherwise(F.size(o) / union).alias("likeness"), longest_run(o).cast("long").alias("aligned"))
+
+        return let(offsets(f), result)
+
+    return let(F.sort_array(F.concat(side(a, 0), side(b, 1))), lambda c: let(firsts(c), of))
 
 
 def as_text(sk: Column) -> Column:
-    """hash@position of every kept anchor, comma-joined."""
+    """hash@position of every anchor of a list, comma-joined."""
     return F.array_join(F.transform(sk, lambda x: F.concat(F.lpad(F.lower(F.hex(x["hash"])), 16, "0"), F.lit("@"), x["at"].cast("string"))), ",")
 
 
@@ -128,12 +146,13 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     """The fingerprint of every text, of its edited text (last half replaced by the start of
     the next document) and their likeness to it and to the next document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("t"))
-    rows = rows.select("doc_id", "t", F.xxhash64("t").alias("h"))
-    pairs = with_next(rows.withColumn("sk", sketch(F.col("t"))), "doc_id", "h", ["t", "sk"])
-    n = F.char_length("t")
-    edited = pairs.select("doc_id", n.cast("long").alias("n_chars"), "sk", "next_sk",
+    pairs = with_next(rows.select("doc_id", "t", F.xxhash64("t").alias("h")), "doc_id", "h", ["t"])
+    edited = pairs.select("doc_id", F.char_length("t").cast("long").alias("n_chars"), "t", "next_t",
                           F.concat(F.expr("left(t, char_length(t) - char_length(t) div 2)"), F.expr("left(next_t, cast(char_length(t) div 2 as int))")).alias("e"))
-    done = edited.select("doc_id", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"), "sk", "next_sk", sketch(F.col("e")).alias("e_sk"))
-    return done.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("sk")).alias("fingerprint"), as_text(F.col("e_sk")).alias("edited_fingerprint"),
-                       likeness(F.col("sk"), F.col("e_sk")).alias("near_edited"), likeness(F.col("sk"), F.col("next_sk")).alias("near_next"),
-                       aligned(F.col("sk"), F.col("e_sk")).alias("aligned_edited"))
+    found = edited.select("doc_id", "n_chars", F.sha2(F.col("e").cast("binary"), 256).alias("edited_sha256"),
+                          anchors(F.col("t")).alias("a"), anchors(F.col("e")).alias("e_a"), anchors(F.col("next_t")).alias("next_a"))
+    done = found.select("*", compared(F.col("a"), F.col("e_a")).alias("to_edited"), compared(F.col("a"), F.col("next_a")).alias("to_next"))
+    return done.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("a")).alias("fingerprint"), as_text(F.col("e_a")).alias("edited_fingerprint"),
+                       F.col("to_edited.likeness").alias("near_edited"), F.col("to_next.likeness").alias("near_next"),
+                       F.col("to_edited.aligned").alias("aligned_edited"), F.col("to_next.aligned").alias("aligned_next"),
+                       as_text(sketch(F.col("a"))).alias("sketch"))

@@ -182,6 +182,40 @@ def test_syncmers(docs, rows, none):
     assert syncmers.fingerprints(none).count() == 0
 
 
+def brute_compared(a, b):
+    """likeness and aligned of two anchor lists (hash, at) by brute force."""
+    first = [{h: min(at for x, at in c if x == h) for h, _ in c} for c in (a, b)]
+    common = first[0].keys() & first[1].keys()
+    both = first[0].keys() | first[1].keys()
+    return (len(common) / len(both) if both else 1.0, max(Counter(first[1][h] - first[0][h] for h in common).values(), default=0))
+
+
+def test_syncmers_compare_all_anchors(spark):
+    rnd = random.Random(11)
+    make = lambda n: [f"v{rnd.randrange(10**6)}" for _ in range(n)]
+    shared, long, line = make(60), make(3000), make(12)
+    pairs = [([*make(5000), *shared], [*make(700), *shared, *make(4300)]), (long, ["one", *long]), (long, long), (line * 40, ["x", *line * 35]),
+             (["ab"] * 3000, ["ab"] * 2000), ([], []), ([], shared), (make(3), make(3)), (shared, make(60))]
+    rows = [(k, " ".join(a), " ".join(b)) for k, (a, b) in enumerate(pairs)]
+    f = spark.createDataFrame(rows, "k int, a string, b string").select("k", *(syncmers.anchors(F.col(c)).alias(c) for c in "ab"))
+    got = f.select("*", syncmers.compared(F.col("a"), F.col("b")).alias("r")).collect()
+    for r in got:
+        assert tuple(r.r) == brute_compared([tuple(x) for x in r.a], [tuple(x) for x in r.b])
+    by = {r.k: r for r in got}
+    assert by[0].r.likeness > 0 and by[0].r.aligned >= 10 and by[1].r.likeness > 0.99 and by[1].r.aligned >= len(by[1].a) - 1
+
+
+def test_syncmer_fingerprint_holds_every_anchor(spark):
+    rnd = random.Random(12)
+    texts = [" ".join(f"v{rnd.randrange(10**6)}" for _ in range(n)) for n in (1500, 900, 0, 2)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [tuple(x) for x in r.a] for r in frame.select("doc_id", syncmers.anchors(F.col("text")).alias("a")).collect()}
+    for r in syncmers.fingerprints(frame).collect():
+        want = [f"{h & (2**64 - 1):016x}@{at}" for h, at in found[r.doc_id]]
+        assert r.fingerprint == ",".join(want) and r.sketch == ",".join(f"{h & (2**64 - 1):016x}@{at}" for h, at in sorted(found[r.doc_id])[:syncmers.SIZE])
+        assert (r.near_next, r.aligned_next) == brute_compared(found[r.doc_id], found[(r.doc_id + 1) % 4])
+
+
 def test_closed_syncmers_depend_on_their_words_only(spark):
     words = [f"t{k}" for k in range(60)]
     f = spark.createDataFrame([(" ".join(words),), (" ".join(["other", "lead", *words]),)], "t string")
