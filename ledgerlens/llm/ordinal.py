@@ -20,7 +20,8 @@ Scoring covers every whole text, in parallel.
 Defined results: NULL or empty text has no features and is scored by the thresholds
 alone; rated ids without a document are ignored; NULL ratings are ignored; repeated
 ratings of a doc_id count by the lowest grade; with fewer than two distinct grades there
-is nothing to learn and every document is scored 1 and kept; repeated documents score alike.
+is nothing to learn and every document is scored 1 and kept; repeated documents score alike; of the rows
+that repeat a rated doc_id, the one with the smallest text hash is fitted.
 """
 
 from __future__ import annotations
@@ -140,7 +141,9 @@ def fit(docs: DataFrame, ratings: DataFrame, grades: int, max_rated: int = 20_00
             ids = [sorted(x) for x in features(bits).of(b.column(2).to_pylist())]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(ids, pa.list_(pa.int32()))], names=["id", "grade", "f"])
 
-    rows = texts.join(sample, "id").select("id", "grade", "t").mapInArrow(extract, "id long, grade int, f array<int>").toArrow()
+    # One row per rated id, so that max_rated bounds the rows on the driver.
+    one = texts.join(sample, "id").groupBy("id", "grade").agg(F.min_by("t", F.xxhash64("t")).alias("t"))
+    rows = one.select("id", "grade", "t").mapInArrow(extract, "id long, grade int, f array<int>").toArrow()
     rows = rows.sort_by([("id", "ascending")])
     g = rows["grade"].to_numpy()
     if len(np.unique(g)) < 2:

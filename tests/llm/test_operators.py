@@ -380,6 +380,18 @@ def test_ordinal_held_out(spark):
     assert ordinal.accepted(frame.where("false"), lab).count() == 0
 
 
+def test_fit_takes_one_row_of_a_rated_id(spark):
+    rnd = random.Random(13)
+    texts = [(k, " ".join([rnd.choice(["vile", "calm"][k % 2:][:1]), *(f"p{rnd.randrange(40)}" for _ in range(12))])) for k in range(120)]
+    lab = spark.createDataFrame([(k, k % 2, 0) for k in range(120)], "doc_id long, quality int, toxic int")
+    hot = [(7, f"calm vile extra{k % 5} p{k % 40} more{k}") for k in range(400)]
+    frame = spark.createDataFrame(texts + hot, "doc_id long, text string")
+    h = F.xxhash64(F.col("text").cast("binary"))
+    single = frame.groupBy("doc_id").agg(F.min_by("text", h).alias("text"))
+    got, want = (ordinal.fit(f, ordinal.graded(lab), 3) for f in (frame.repartition(3), single))
+    assert got.weights == want.weights and got.cuts == want.cuts and got.weights
+
+
 def test_pipeline_keeps_columns_and_nulls(spark, tmp_path):
     import corpus_pipeline
 
