@@ -4,16 +4,17 @@ Removes every word that lies in a window of ``length`` words which also starts a
 else. The reference is the whole corpus, as the distinct candidate blocks of ``repeats``:
 
 1. Index: every reference block under the hash of each of its windows, with how many
-   places hold it and two of the blocks that do.
-2. Parse: each block is factored greedily from the left. A factor starts at the first
-   indexed window that another place holds, and goes on as long as the following windows
-   are in the index with the same reference block; a factor of k windows is k+length-1
-   words long.
-3. Factor boundaries: the window after a factor's last one crosses its end; it is looked
-   up against every other reference block before the parse moves on by one word.
-
-Factors reach at least one window, so all their words are duplicates, and a window that no
-factor holds is in no reference block but its own.
+   places hold it and two of the blocks that do. This count decides: a window that stands
+   more than once is a hit, and the words of the hits are removed.
+2. Parse: the hits of each block are joined greedily from the left. A factor starts at the
+   first hit, and goes on as long as the following windows are hits of which one of the two
+   kept blocks is the same; a factor of k windows is k+length-1 words long. Places in the
+   reference are not compared, so a factor need not be one contiguous copy, nor the longest.
+3. Factor boundaries: the window after a factor's last one crosses its end; if it is a hit
+   (by the same index), the next factor starts there.
+
+The union of the factors is the hits, so all words of factors are duplicates, and a window
+that no factor holds is in no reference block but its own.
 
 Defined results: NULL or word-less text has 0 words and keeps nothing (hash of the empty
 text); rows that repeat a doc_id or text are documents of their own, so their windows occur
