@@ -409,6 +409,67 @@ def test_pipeline_keeps_columns_and_nulls(spark, tmp_path):
     assert len(corpus_pipeline.STAGES) == 5
 
 
+def test_pipeline_stages_against_plain_python(spark, tmp_path):
+    """Toxic, near-copy, leaked and clean rows: what each stage keeps, and the index at the end."""
+    import corpus_pipeline
+
+    rnd = random.Random(21)
+    clean = [" ".join(f"w{rnd.randrange(3000)}" for _ in range(rnd.randint(40, 80))) for _ in range(150)]
+    passages = [" ".join(f"bench{k}x{j}" for j in range(n)) for k, n in enumerate((12, 15, 30))]
+    rows = [(k, t, f"s{k % 3}") for k, t in enumerate(clean)]
+    toxic = [" ".join("vile" if j % 4 == 0 else w for j, w in enumerate(t.split())) for t in clean[:100]]
+    rows += [(200 + k, f"{t} bad{k}", f"s{k % 3}") for k, t in enumerate(toxic)]
+    rows += [(400 + k, clean[k], "s1") for k in range(0, 40, 4)]  # copies
+    rows += [(500 + k, clean[k].upper(), "s2") for k in range(1, 40, 4)]  # the same words in capitals: a near copy
+    rows += [(600 + k, f"{clean[100 + k]} more{k} {p}", "s0") for k, p in enumerate(passages)]
+    rows += [(610, f"{clean[110]} other " + passages[1].replace("bench1x6", "changed"), "s0")]
+    labels = [(k, 1, 0) for k in range(100)] + [(200 + k, 0, 1) for k in range(70)]
+    spark.createDataFrame([(i, t, "en", s, len(t)) for i, t, s in rows], "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame(list(enumerate(passages)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    now, kept = spark.read.parquet(f"{tmp_path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = corpus_pipeline.stored(stage(spark, now, str(tmp_path)), f"test-{name}")
+        kept[name] = now.select("doc_id", "text", "source").collect()
+    got = {name: {r.doc_id for r in r_} for name, r_ in kept.items()}
+    text = {i: t for i, t, _ in rows}
+
+    want = {i for i, t, _ in rows if "vile" not in t.split()}
+    capitals = set(range(501, 540, 4))  # no rating covers capitals
+    assert got["quality_classifier"] - capitals == want - capitals
+
+    fps = {i: naive_fingerprint(text[i]) for i in got["quality_classifier"]}
+    root = {i: i for i in fps}
+    for a, b in itertools.combinations(sorted(fps), 2):
+        if (fps[a] ^ fps[b]).bit_count() <= 2 and root[a] != root[b]:
+            root = {i: min(root[a], root[b]) if r in (root[a], root[b]) else r for i, r in root.items()}
+    want = set(root.values())
+    assert got["simhash_near_dedup"] == want and not want & set(range(400, 600)) and len(want) > 100
+
+    words = {i: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", lower(text[i])) for i in want}
+    want = {i for i in want if not any(leaks(words[i], p.split()) for p in passages)}
+    assert got["benchmark_decontamination"] == want == got["simhash_near_dedup"] - {600, 601, 602, 610}
+
+    sizes, taken = Counter(), Counter()
+    for r in kept["benchmark_decontamination"]:
+        sizes[r.source] += len(r.text.split())
+    for r in kept["source_mixing"]:
+        assert r.text == text[r.doc_id]
+        taken[r.source] += len(r.text.split())
+    order = sorted(sizes, key=mixing.source_key)
+    target = mixing.water_fill({s: sizes[s] for s in order}, {s: k % 3 + 1 for k, s in enumerate(order)})
+    assert got["source_mixing"] <= want and all(abs(taken[s] - target[s]) <= 160 for s in order)  # two of the longest texts
+
+    library = Tokenizer.from_file(VOCABULARY)
+    index = sorted(corpus_pipeline.run(spark, str(tmp_path)).collect(), key=lambda r: r.start)
+    mixed, at = sorted(r.doc_id for r in kept["source_mixing"]), 0
+    assert [r.doc_id for r in index] == mixed
+    for r in index:
+        ids = np.array(library.encode(text[r.doc_id], add_special_tokens=False).ids + [1], "<u4")
+        assert (r.start, r.n_tokens, r.ids_crc32) == (at, len(ids), zlib.crc32(ids.tobytes()))
+        at += len(ids)
+
+
 @pytest.mark.parametrize("operator", ["licenses", "syncmers", "decontaminate"])
 def test_native_operators_run_no_python(docs, spark, operator):
     """Operators 4, 6 and 9 plan no Python, pandas or Arrow step and scan no RDD of rows made in Python."""
