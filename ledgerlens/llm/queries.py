@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bitplane, decontaminate, licenses, mixing, ordinal, rankmerge, rlz, simhash, suffixes, syncmers
+from ledgerlens.llm import bitplane, decontaminate, licenses, mixing, ordinal, periodic, rankmerge, rlz, simhash, suffixes, syncmers
 from ledgerlens.llm.common import ASCII_SPACE, documents
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removed_words(documents(spark, sf_dir), length=35)
 
 
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic.collapsed_runs(documents(spark, sf_dir))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -76,5 +80,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_bitplane_tokens, op3_simhash_groups, op4_license_scan, op5_token_counts, op6_syncmer_fingerprints,
-    op7_source_mix, op8_suffix_dedup, op9_benchmark_overlaps, op10_rlz_dedup, pipeline)}
+    op7_source_mix, op8_suffix_dedup, op9_benchmark_overlaps, op10_rlz_dedup, op13_periodic_runs, pipeline)}
 ORACLE: dict[str, str] = {}
