@@ -6,7 +6,7 @@ lag q; a run of length L is a stretch of L-q equal words on it.
 
 1. Seeds: lags are taken in classes [2^j, 2^(j+1)). A run of such a lag overlaps itself in
    at least max(shortest - q, (exponent - 1) x q) words, so the smallest of these over the
-   class is the length K of the k-grams that are indexed for it: every run holds one.
+   class and the longer lags is the length K of the k-grams that are indexed for it: every run holds one.
 2. Pairs: each k-gram is paired with its next occurrence in the same document. As K >= q (``exponent`` is 3 or more),
    an occurrence nearer than q would give the run a smaller period (Fine and Wilf), so
    the next occurrence inside a run is q away, and no other pair of occurrences is needed.
@@ -44,8 +44,9 @@ FOUND = "doc_id long, n_runs long, start long, length long, period long, exponen
 
 
 def seed_length(lag: int, shortest: int, exponent: int) -> int:
-    """Words that a run overlaps itself in, at least, for any lag from ``lag`` to 2 ``lag`` - 1."""
-    return min(max(shortest - q, (exponent - 1) * q) for q in range(lag, 2 * lag))
+    """Words that a run of any lag from ``lag`` on overlaps itself in, at least. From ``shortest`` on
+    the overlap only grows with the lag."""
+    return min(max(shortest - q, (exponent - 1) * q) for q in range(lag, max(2 * lag, shortest)))
 
 
 def repeated(grams: np.ndarray) -> np.ndarray:
