@@ -72,7 +72,7 @@ def test_seed_length_is_the_least_overlap():
 
 
 def test_next_occurrence():
-    values = np.array([3, 1, 3, 3, 2, 1], np.uint64)
+    values = np.array([3, 1, 3, 3, 2, 1], np.uint64) << np.uint64(40)
     at = periodic.repeated(values)
     assert at.tolist() == [0, 1, 2, 3, 5]
     assert [x.tolist() for x in periodic.next_occurrence(values, at)] == [[0, 1, 2, 3, 5], [2, 4, 1, 0, 0]]
