@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerlens.llm import bitplane, collocations, decontaminate, licenses, mixing, ordinal, periodic, rankmerge, rlz, simhash, suffixes, syncmers
+from ledgerlens.llm import bitplane, collocations, decontaminate, hyperminhash, licenses, mixing, ordinal, periodic, rankmerge, rlz, simhash, suffixes, syncmers
 from ledgerlens.llm.common import ASCII_SPACE, documents
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +68,10 @@ def op10_rlz_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rlz.removed_words(documents(spark, sf_dir), length=35)
 
 
+def op11_hyperminhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hyperminhash.groups(documents(spark, sf_dir))
+
+
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(documents(spark, sf_dir))
 
@@ -84,5 +88,5 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_quality_classifier, op2_bitplane_tokens, op3_simhash_groups, op4_license_scan, op5_token_counts, op6_syncmer_fingerprints,
-    op7_source_mix, op8_suffix_dedup, op9_benchmark_overlaps, op10_rlz_dedup, op12_collocations, op13_periodic_runs, pipeline)}
-ORACLE: dict[str, str] = {"op12_collocations": collocations.ORACLE_SQL}
+    op7_source_mix, op8_suffix_dedup, op9_benchmark_overlaps, op10_rlz_dedup, op11_hyperminhash_groups, op12_collocations, op13_periodic_runs, pipeline)}
+ORACLE: dict[str, str] = {"op11_hyperminhash_groups": hyperminhash.ORACLE_SQL, "op12_collocations": collocations.ORACLE_SQL}
