@@ -14,10 +14,12 @@ Jaccard similarity of at least ``percent`` / 100 are linked; groups are the conn
 4. Verification: the full sets of the pair are compared; only that links.
 
 Equal sets collapse first: one row per distinct set enters the index. No band makes all its
-pairs: a first pass verifies, per band, a forest of the best estimates alone (one pair
-a member). Sets it links need no further look at each other, so a second pass verifies the
-remaining candidates, those between different groups, and then no candidate is left. A band
-of more than ``block`` sets is dealt into blocks, and every pair of blocks is a row of its own.
+pairs: a first pass verifies, per band, a forest of the best estimates alone (at most one pair
+a member). Only bands that then still hold sets of different groups are looked at again, with
+the full sets at hand: their candidates are verified in place, best estimates first, and pairs
+that a link found there has joined are passed over; only links leave. A band of more than
+``block`` sets is dealt into blocks, and every pair of blocks is a row of its own, so a large
+group is compared by many tasks (the comparisons of registers in it still grow with its square).
 
 Defined results: NULL or word-less text has the empty set (n_shingles 0) and links with nothing,
 its component_id is its doc_id; fewer words than a shingle: the whole sequence is the one
@@ -29,6 +31,7 @@ gives no row; columns other than doc_id and text are not read.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from itertools import accumulate
 
 import numpy as np
@@ -47,7 +50,7 @@ M = 1 << BUCKET_BITS
 REST = 64 - BUCKET_BITS  # hash bits below the bucket number
 BANDS, ROWS = 25, 5
 PROBES = 64
-BLOCK = 512
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
 SIGMAS = 4.75
 
 
@@ -127,8 +130,9 @@ def lowest(percent: int) -> float:
     return s - SIGMAS * math.sqrt(s * (1 - s) / M)
 
 
-def forest(pairs: np.ndarray, score: np.ndarray, label: list) -> list[int]:
-    """Indices of a spanning forest of best scores over the groups that ``label`` gives the nodes."""
+def forest(pairs: np.ndarray, score: np.ndarray, label: list, linked: Callable[[int, int], bool] = lambda a, b: True) -> list[int]:
+    """Indices of a spanning forest, best scores first, of the pairs that are ``linked``, over the groups
+    that ``label`` gives the nodes; a pair inside a group or tree is not asked for."""
     root: dict = {}
 
     def top(x):
@@ -138,8 +142,9 @@ def forest(pairs: np.ndarray, score: np.ndarray, label: list) -> list[int]:
 
     out, left = [], len(set(label)) - 1
     for k in np.argsort(-score, kind="stable").tolist():
-        a, b = top(label[pairs[k, 0]]), top(label[pairs[k, 1]])
-        if a != b:
+        x, y = pairs[k].tolist()
+        a, b = top(label[x]), top(label[y])
+        if a != b and linked(x, y):
             root[a] = b
             out.append(k)
             left -= 1
@@ -148,12 +153,12 @@ def forest(pairs: np.ndarray, score: np.ndarray, label: list) -> list[int]:
     return out
 
 
-def candidates(regs: np.ndarray, n: np.ndarray, side: np.ndarray, label: list, band: int, percent: int, every: bool) -> list[tuple[int, int]]:
-    """Pairs of rows (of different blocks, where there are two) with different labels whose estimate reaches the bound:
-    all of them for which ``band`` is the first they share, or a forest of the best."""
+def candidates(regs: np.ndarray, n: np.ndarray, side: np.ndarray, label: list, percent: int, band: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (of different blocks, where there are two) with different labels whose estimate reaches the
+    bound, and the estimates; with ``band`` only pairs for which it is the first band they share."""
     two = side.any() and not side.all()
     mark = np.unique(np.array(label, dtype=object), return_inverse=True)[1]
-    found: list[np.ndarray] = []
+    pairs, scores = [np.zeros((0, 2), np.int64)], [np.zeros(0)]
     least = lowest(percent)
     for i in range(len(regs) - 1):
         partners = np.arange(i + 1, len(regs))
@@ -162,8 +167,6 @@ def candidates(regs: np.ndarray, n: np.ndarray, side: np.ndarray, label: list, b
         if two:
             ok &= side[i + 1:] != side[i]
         partners = partners[ok]
-        if not len(partners):
-            continue
         same = regs[partners] == regs[i]
         equal = same.sum(axis=1)
         ok = equal >= least * M  # the correction only lowers it
@@ -172,17 +175,17 @@ def candidates(regs: np.ndarray, n: np.ndarray, side: np.ndarray, label: list, b
         partners, same, equal = partners[ok], same[ok], equal[ok]
         est = estimate(equal, n[partners], n[i])
         ok = est >= least
-        if every:
-            by_band = same[:, :BANDS * ROWS].reshape(len(partners), BANDS, ROWS).all(axis=2)
-            ok &= by_band.argmax(axis=1) == band
-        if ok.any():
-            found.append(np.column_stack((np.full(ok.sum(), i), partners[ok], est[ok])))
-    if not found:
-        return []
-    rows = np.concatenate(found)
-    pairs = rows[:, :2].astype(np.int64)
-    keep = range(len(pairs)) if every else forest(pairs, rows[:, 2], label)
-    return [tuple(pairs[k]) for k in keep]
+        if band is not None:
+            ok &= same[:, :BANDS * ROWS].reshape(len(partners), BANDS, ROWS).all(axis=2).argmax(axis=1) == band
+        pairs.append(np.column_stack((np.full(ok.sum(), i), partners[ok])))
+        scores.append(est[ok])
+    return np.concatenate(pairs), np.concatenate(scores)
+
+
+def similar(one: np.ndarray, two: np.ndarray, percent: int) -> bool:
+    """Whether two full sets reach the bound."""
+    both = len(np.intersect1d(one, two, assume_unique=True))
+    return 100 * both >= percent * (len(one) + len(two) - both)
 
 
 SKETCH = "doc_id long, n long, name binary, regs binary, t binary"
@@ -205,63 +208,89 @@ def sketched(docs: DataFrame, size: int) -> DataFrame:
 
 
 def shared_bands(sets: DataFrame, block: int) -> DataFrame:
-    """key, band, name, members, blocks, part: the bands that more than one set has."""
+    """key, band, name, members, blocks, part: the bands that more than one set has. A block has about
+    ``block`` sets and ``BLOCK_SHINGLES`` shingles at most."""
     def run(batches):
         for b in batches:
             regs = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint16).reshape(-1, M)
+            each = pa.array(np.repeat(np.arange(len(regs)), BANDS))
             yield pa.RecordBatch.from_arrays([pa.array(bands(regs).ravel()), pa.array(np.tile(np.arange(BANDS, dtype=np.int8), len(regs))),
-                                              b.column(0).take(pa.array(np.repeat(np.arange(len(regs)), BANDS)))], names=["key", "band", "name"])
+                                              b.column(0).take(each), b.column(2).take(each)], names=["key", "band", "name", "n"])
 
-    keys = stored(sets.select("name", "regs").mapInArrow(run, "key long, band byte, name binary"), "bands")
-    again = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    parts = F.ceil(F.col("members") / block).cast("int")
-    return stored(keys.join(again, "key").withColumn("blocks", parts).withColumn("part", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")), "shared-bands")
+    keys = stored(sets.select("name", "regs", "n").mapInArrow(run, "key long, band byte, name binary, n long"), "bands")
+    parts = F.greatest(F.ceil(F.count(F.lit(1)) / block), F.ceil(F.sum("n") / BLOCK_SHINGLES)).cast("int")
+    again = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), parts.alias("blocks")).where("members > 1")
+    return stored(keys.drop("n").join(again, "key").withColumn("part", F.pmod(F.xxhash64("name"), F.col("blocks")).cast("int")), "shared-bands")
 
 
-def compared(shared: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
-    """a, b: candidate pairs of set names with different labels (column ``label`` of ``sets``)."""
-    # A member of block p meets the blocks p and q >= p as the first side, q <= p as the second.
+def blocks_of(shared: DataFrame, sets: DataFrame, *more: str) -> DataFrame:
+    """band, members: a row per band and pair of its blocks, with the columns of ``sets`` of up to two blocks of sets."""
+    # A member of a block meets every block of the band; in the pair of blocks (i, j) those of j are the second side.
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     dealt = (shared.select("key", "band", "name", "part", other.alias("q"))
-             .select("key", "band", "name", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), (F.col("part") == F.col("q")).alias("own"), "part"))
-    member = F.struct("name", "regs", "n", "label", (F.col("part") == F.col("j")).alias("side"))
-    rows = (dealt.join(sets.select("name", "regs", "n", "label"), "name").groupBy("key", "band", "i", "j")
-            .agg(F.sort_array(F.collect_list(member)).alias("members"))  # at most two blocks
+             .select("key", "band", "name", F.least("part", "q").alias("i"), F.greatest("part", "q").alias("j"), "part"))
+    member = F.struct("name", "regs", "n", "label", (F.col("part") == F.col("j")).alias("side"), *more)
+    return (dealt.join(sets, "name").groupBy("key", "band", "i", "j").agg(F.collect_list(member).alias("members"))  # at most two blocks
             .where(F.size("members") > 1).select("band", "members"))
 
+
+def _columns(members: list[dict]) -> tuple:
+    members.sort(key=lambda m: m["name"])
+    regs = np.frombuffer(b"".join(m["regs"] for m in members), np.uint16).reshape(-1, M)
+    return regs, np.array([m["n"] for m in members]), np.array([m["side"] for m in members]), [m["label"] for m in members]
+
+
+def _pairs(names: list[tuple[bytes, bytes]]) -> pa.RecordBatch:
+    low, high = zip(*(sorted(x) for x in names), strict=True) if names else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(low, pa.binary()), pa.array(high, pa.binary())], names=["a", "b"])
+
+
+def best_pairs(shared: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """a, b: of every band a forest of the best estimates between its sets."""
+    def run(batches):
+        for b in batches:
+            for members in b.column(1).to_pylist():
+                regs, n, side, label = _columns(members)
+                pairs, score = candidates(regs, n, side, label, percent)
+                yield _pairs([tuple(members[x]["name"] for x in pairs[k]) for k in forest(pairs, score, label)])
+
+    return blocks_of(shared, sets).mapInArrow(run, "a binary, b binary").distinct()
+
+
+def links_between_groups(shared: DataFrame, sets: DataFrame, percent: int, size: int) -> DataFrame:
+    """a, b: links that join all sets with a link between different labels. The full sets travel
+    with the band (column t), so candidates are verified where they arise and only links leave."""
     def run(batches):
+        z = zstandard.ZstdDecompressor()
         for b in batches:
-            a_names, b_names = [], []
             for band, members in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                regs = np.frombuffer(b"".join(m["regs"] for m in members), np.uint16).reshape(-1, M)
-                n, side = np.array([m["n"] for m in members]), np.array([m["side"] for m in members])
-                for x, y in candidates(regs, n, side, [m["label"] for m in members], band, percent, every):
-                    a_names.append(members[x]["name"])
-                    b_names.append(members[y]["name"])
-            yield pa.RecordBatch.from_arrays([pa.array(a_names, pa.binary()), pa.array(b_names, pa.binary())], names=["a", "b"])
+                regs, n, side, label = _columns(members)
+                pairs, score = candidates(regs, n, side, label, percent, band)
+                full: dict[int, np.ndarray] = {}
+
+                def whole(x: int, members=members, full=full) -> np.ndarray:
+                    if x not in full:
+                        full[x] = shingles(z.decompress(members[x]["t"]), size)
+                    return full[x]
 
-    return rows.mapInArrow(run, "a binary, b binary").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+                kept = forest(pairs, score, label, lambda x, y, whole=whole: similar(whole(x), whole(y), percent))
+                yield _pairs([tuple(members[x]["name"] for x in pairs[k]) for k in kept])
+
+    return blocks_of(shared, sets, "t").mapInArrow(run, "a binary, b binary")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> DataFrame:
     """The pairs (a, b) whose full sets are similar enough."""
     def run(batches):
         z = zstandard.ZstdDecompressor()
-        held: dict[bytes, np.ndarray] = {}
-
-        def full(name: bytes, t: bytes) -> np.ndarray:
-            if name not in held:
-                if len(held) > 200:
-                    held.clear()
-                held[name] = shingles(z.decompress(t), size)
-            return held[name]
-
         for b in batches:
+            full: dict[bytes, np.ndarray] = {}
             keep = []
             for x, y, tx, ty in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                one, two = full(x, tx), full(y, ty)
-                both = len(np.intersect1d(one, two, assume_unique=True))
-                keep.append(100 * both >= percent * (len(one) + len(two) - both))
+                for name, t in ((x, tx), (y, ty)):
+                    if name not in full:
+                        full[name] = shingles(z.decompress(t), size)
+                keep.append(similar(full[x], full[y], percent))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     one = texts.select(F.col("name").alias("a"), F.col("t").alias("ta"))
@@ -269,30 +298,36 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int, size: int) -> Dat
     return pairs.join(one, "a").join(two, "b").select("a", "b", "ta", "tb").mapInArrow(run, "a binary, b binary")
 
 
-def links(sets: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
-    """node, root: connected parts of the sets (columns name, n, regs, t) that have a link."""
+def texts_of(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """name, t: one compressed text of each of the sets."""
+    return rows.join(names, "name", "left_semi").groupBy("name").agg(F.min("t").alias("t"))
+
+
+def links(rows: DataFrame, sets: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
+    """node, root: connected parts of the sets (name, n, regs) that have a link."""
     shared = shared_bands(sets, block)
-    alone = sets.withColumn("label", F.col("name"))
-    tried = stored(compared(shared, alone, percent, False), "first-pairs")
-    found = stored(verified(tried, sets, percent, size), "first-links")
+    tried = stored(best_pairs(shared, sets.select("name", "regs", "n", F.col("name").alias("label")), percent), "first-pairs")
+    both = tried.select(F.col("a").alias("name")).union(tried.select(F.col("b").alias("name"))).distinct()
+    found = stored(verified(tried, stored(texts_of(rows, both), "first-texts"), percent, size), "first-links")
     roots = stored(components(found), "first-groups")
-    labelled = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("label", F.coalesce("root", "name")).drop("root")
-    labelled = stored(labelled.select("name", "regs", "n", "label"), "labelled-sets")
-    # Only bands that still join different groups.
-    open_ = (shared.select("key", "name").join(labelled.select("name", "label"), "name")
-             .groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"))
-    rest = compared(shared.where("members > 2").join(open_, "key", "left_semi"), labelled, percent, True).join(tried, ["a", "b"], "left_anti")
-    more = verified(stored(rest, "second-pairs"), sets, percent, size)
-    return components(found.union(more))
+    labelled = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "regs", "n", F.coalesce("root", "name").alias("label"))
+    labelled = stored(labelled, "labelled-sets")
+    # Only bands that still hold sets of different groups.
+    more = shared.where("members > 2")
+    differ = (more.select("key", "name").join(labelled.select("name", "label"), "name")
+              .groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"))
+    differ = stored(more.join(differ, "key", "left_semi"), "open-bands")
+    texts = texts_of(rows, differ.select("name").distinct())
+    between = links_between_groups(differ, labelled.join(texts, "name"), percent, size)
+    return components(found.union(between))
 
 
 def groups(docs: DataFrame, percent: int = 85, size: int = 5, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id, kept of every row."""
-    for_python(docs.sparkSession, 256)
+    for_python(docs.sparkSession, 128)
     rows = sketched(docs, size)
-    sets = stored(rows.where("name is not null").groupBy("name").agg(F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min(F.struct("regs", "t")).alias("s"))
-                  .select("name", "n", "first", "s.regs", "s.t"), "sets")
-    roots = links(sets, percent, size, block)
+    sets = stored(rows.where("name is not null").groupBy("name").agg(F.min("n").alias("n"), F.min("doc_id").alias("first"), F.min("regs").alias("regs")), "sets")
+    roots = links(rows, sets, percent, size, block)
     named = sets.select("name", "first").join(roots.withColumnRenamed("node", "name"), "name", "left").withColumn("root", F.coalesce("root", "name"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     of_set = stored(named.join(smallest, "root").select("name", "component"), "set-groups")
