@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import shuffle_partitions, for_python, stored, text_or_empty
-from ledgerlens.llm.wordcache import Vocabulary, WordCache
+from ledgerlens.llm.wordcache import Vocabulary, WordCache, of_worker
 from ledgerlens.session import scratch_path
 
 MAGIC = b"LLPLANE1"
@@ -97,13 +97,8 @@ class WordIds:
         return out
 
 
-_ENCODERS: dict[str, WordIds] = {}
-
-
 def encoder(path: str) -> WordIds:
-    if path not in _ENCODERS:
-        _ENCODERS[path] = WordIds(path)
-    return _ENCODERS[path]
+    return of_worker("bitplane", path, lambda: WordIds(path))
 
 
 # -- files -------------------------------------------------------------------------------

@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerlens.llm.common import fresh, for_python, stored, text_or_empty
-from ledgerlens.llm.wordcache import WordCache
+from ledgerlens.llm.wordcache import WordCache, of_worker
 
 SEED = 7
 CORE = re.compile(r"[\W_]+")
@@ -80,13 +80,8 @@ class Features:
         return out
 
 
-_FEATURES: dict[int, Features] = {}
-
-
 def features(bits: int) -> Features:
-    if bits not in _FEATURES:
-        _FEATURES[bits] = Features(bits)
-    return _FEATURES[bits]
+    return of_worker("ordinal", bits, lambda: Features(bits))
 
 
 def sigmoid(x):

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import for_python, text_or_empty
-from ledgerlens.llm.wordcache import Vocabulary, WordCache
+from ledgerlens.llm.wordcache import Vocabulary, WordCache, of_worker
 
 NONE = np.int32(2**31 - 1)
 COUNTS = T.StructType([
@@ -109,13 +109,8 @@ class RankCounter:
         return [sum(map(n, w)) for w in words]
 
 
-_COUNTERS: dict[str, RankCounter] = {}
-
-
 def counter(path: str) -> RankCounter:
-    if path not in _COUNTERS:
-        _COUNTERS[path] = RankCounter(path)
-    return _COUNTERS[path]
+    return of_worker("rankmerge", path, lambda: RankCounter(path))
 
 
 def token_counts(docs: DataFrame, tokenizer: str, limit: int = 2048) -> DataFrame:

@@ -12,7 +12,8 @@ Equal texts collapse first: one row per distinct fingerprint enters the index. A
 shared by more than ``bucket`` fingerprints is not expanded into pairs; its members look
 up their neighbours instead: the 64 + 2016 fingerprints one or two flipped bits away,
 again by equality join. That finds every link of those members, at a cost per member that
-does not depend on the size of the signature's group.
+does not depend on the size of the signature's group. (The bucket bound chooses between two exact
+ways; it drops nothing.)
 
 Defined results: NULL or word-less text has fingerprint zero, linked like any other;
 fewer words than a shingle hash as one sequence; NULL doc_id is kept (the group's id is the
@@ -30,8 +31,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerlens.llm.common import fresh, for_python, stored, text_or_empty
+from ledgerlens.llm.common import fresh, for_python, shuffle_partitions, stored, text_or_empty
 from ledgerlens.llm.components import components
+from ledgerlens.llm.wordcache import of_worker
 
 SEED = 42
 BITS = 64
@@ -57,6 +59,7 @@ def fingerprint(text: bytes, shingle: int) -> int:
 def fingerprint_column(shingle: int):
     @F.pandas_udf("long")
     def of(texts: pd.Series) -> pd.Series:
+        of_worker("simhash", None, dict)  # drops what an earlier stage kept in this worker
         return pd.Series([fingerprint(t, shingle) for t in texts], dtype="int64")
 
     return of(text_or_empty().cast("binary"))
@@ -71,6 +74,7 @@ def links(fps: DataFrame, distance: int = 2, bucket: int = 64) -> DataFrame:
     apart that share a signature of at most ``bucket`` members, and all pairs of the others."""
     if not 0 <= distance <= 2:
         raise ValueError("two segments with one wildcard bit find distances up to 2")
+    fps = fps.repartition(shuffle_partitions(fps.sparkSession), "fp")  # each row becomes 64: more tasks than its few files
     segment = F.when(F.col("k") < HALF, F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))).otherwise(F.shiftrightunsigned("fp", HALF))
     signed = (fps.select("fp", F.explode(F.sequence(F.lit(0), F.lit(BITS - 1))).alias("k"))
               .select("fp", F.col("k").cast("byte").alias("k"),

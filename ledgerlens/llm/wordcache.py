@@ -2,8 +2,10 @@
 
 The vocabulary's normaliser and splitter drop white space and never look across it, so
 what a text gives is what its white-space separated words give, in order. Workers keep
-results per distinct word in a bounded two-generation cache: when the young generation
-is full it becomes the old one, and words met again move back.
+results per distinct word in a two-generation cache bounded by bytes: when the young generation
+is full it becomes the old one, and words met again move back; a long word is kept for the
+texts it came with alone. A worker holds the caches of one operator at a time: those of
+an earlier stage go as soon as another operator runs in it.
 """
 
 from __future__ import annotations
@@ -13,7 +15,8 @@ import os
 import re
 from collections.abc import Callable
 
-CACHE_WORDS = 500_000
+CACHE_BYTES = 64 << 20  # of one generation, as words and their entries
+ENTRY_BYTES, LONG_WORD = 220, 64
 
 # Words of these characters alone need no normalisation beyond lower case, and the
 # splitting pattern of the vocabulary file can be applied by ``re`` directly.
@@ -32,13 +35,17 @@ def byte_letters() -> list[str]:
 class WordCache:
     """word → value; ``fill`` computes the values of words met for the first time."""
 
-    def __init__(self, fill: Callable[[list], list]):
-        self.fill, self.young, self.old = fill, {}, {}
+    def __init__(self, fill: Callable[[list], list], most: int = CACHE_BYTES):
+        self.fill, self.most, self.young, self.old = fill, most, {}, {}
+        self.held = 0
+        self.passing: list = []
 
     def values(self, texts: list[list]) -> Callable:
         """A lookup that holds every word of these texts."""
-        if len(self.young) > CACHE_WORDS:
-            self.young, self.old = {}, self.young
+        for w in self.passing:
+            del self.young[w]
+        if self.held > self.most:
+            self.young, self.old, self.held = {}, self.young, 0
         new = set().union(*texts).difference(self.young)
         known = [w for w in new if w in self.old] if self.old else []  # a set operation would walk the whole dict
         for w in known:
@@ -47,9 +54,25 @@ class WordCache:
         if new:
             words = list(new)
             self.young.update(zip(words, self.fill(words), strict=True))
+        self.passing = [w for w in new if len(w) > LONG_WORD]
+        self.held += ENTRY_BYTES * (len(known) + len(new))
         return self.young.__getitem__
 
 
+_KEPT: dict = {}
+
+
+def of_worker(operator: str, key, make: Callable):
+    """What ``make()`` gives, kept in this Python worker for ``operator`` under ``key``; what another
+    operator kept is dropped, as workers live on into the next stages."""
+    if _KEPT.get("operator") != operator:
+        _KEPT.clear()
+        _KEPT["operator"] = operator
+    if (operator, key) not in _KEPT:
+        _KEPT[operator, key] = make()
+    return _KEPT[operator, key]
+
+
 class Vocabulary:
     """The parts of a vocabulary file: pre-tokens as bytes, special strings, the model."""
 

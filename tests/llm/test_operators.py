@@ -477,3 +477,42 @@ def test_native_operators_run_no_python(docs, spark, operator):
     frame = {"licenses": licenses.scan, "syncmers": syncmers.fingerprints, "decontaminate": lambda d: decontaminate.overlaps(d, bench)}[operator](docs)
     plan = frame._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|InPandas|InArrow", plan)
+
+
+def test_word_cache_is_bounded_by_bytes():
+    from ledgerlens.llm import wordcache
+
+    calls = []
+    cache = wordcache.WordCache(lambda words: calls.extend(words) or [w.upper() for w in words], most=100 * wordcache.ENTRY_BYTES)
+    long = ["x" * 65 + str(k) for k in range(1000)]
+    for k in range(0, 1000, 10):
+        get = cache.values([long[k:k + 10], ["again"], []])
+        assert [get(w) for w in [*long[k:k + 10], "again"]] == [*(w.upper() for w in long[k:k + 10]), "AGAIN"]
+        assert sum(len(w) > wordcache.LONG_WORD for d in (cache.young, cache.old) for w in d) <= 20
+    assert calls.count("again") == 1  # moves along from generation to generation
+    for k in range(5000):
+        cache.values([[f"w{k}"]])
+    assert len(cache.young) + len(cache.old) < 250
+
+
+def test_worker_keeps_one_operator():
+    from ledgerlens.llm import wordcache
+
+    first = wordcache.of_worker("a", 1, dict)
+    assert wordcache.of_worker("a", 1, dict) is first and wordcache.of_worker("a", 2, list) == []
+    wordcache.of_worker("b", 1, dict)
+    assert wordcache.of_worker("a", 1, dict) is not first
+
+
+def test_mixture_with_clashing_columns(spark, tmp_path):
+    import corpus_pipeline
+
+    rnd = random.Random(31)
+    rows = [(k, " ".join(rnd.choice(WORDS) for _ in range(rnd.randint(1, 40))), f"s{k % 2}") for k in range(80)] + [(None, "no id at all", "s1"), (None, None, "s0"), (3, "", None)]
+    plain = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    clash = plain
+    for c in ("_id", "_tie", "_times", "own_id", "OWN_TEXT", "times", "tie", "copy", "size", "taken"):
+        clash = clash.withColumn(c, F.lit("clash"))
+    want = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixture(spark, plain, "").collect())
+    got = corpus_pipeline.mixture(spark, clash, "")
+    assert got.columns == clash.columns and Counter((r.doc_id, r.text) for r in got.collect()) == want and len(want) > 20
