@@ -32,14 +32,13 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated as often as the mix takes them (rows; none: the document goes)."""
-    taken = mixing.mix(queries.sized(docs)).select(
-        F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int").alias("_times"))
-    taken = stored(taken.groupBy("_id", "_tie").agg(F.max("_times").alias("_times")), "mix-times")
-    tie = fresh(docs, "tie")
+    own, of, times, tie, copy = (fresh(docs, c) for c in ("own_id", "own_text", "times", "tie", "copy"))  # columns of docs may have any name
+    use = F.when(F.col("size") > 0, F.col("taken") / F.col("size")).otherwise(0).cast("int")
+    taken = mixing.mix(queries.sized(docs)).groupBy(F.col("doc_id").alias(own), F.col("tie").alias(of)).agg(F.max(use).alias(times))
+    taken = stored(taken.where(F.col(times) > 0), "mix-times")
     d = docs.withColumn(tie, F.xxhash64("text"))
-    joined = d.join(taken, d["doc_id"].cast("long").eqNullSafe(taken["_id"]) & (d[tie] == taken["_tie"]))
-    copies = fresh(joined, "copy")
-    return joined.where("_times > 0").withColumn(copies, F.explode(F.sequence(F.lit(1), F.col("_times")))).select(*docs.columns)
+    joined = d.join(taken, d["doc_id"].cast("long").eqNullSafe(taken[own]) & (d[tie] == taken[of]))
+    return joined.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(times)))).select(*docs.columns)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
