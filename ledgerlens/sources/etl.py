@@ -2,8 +2,8 @@
 
 The reference loads CSVs into a database in FK order, validates row counts,
 then appends derived ``retry_success`` events. Here each table is one parallel
-Parquet write (overwrite = staged, counted, then switched in; append = incremental), the
-count check reads the written table back, and the derivations are lazy
+Parquet write of a new version (staged, counted, then switched in, as the whole table or
+as a part more), the count check reads the staged files back, and the derivations are lazy
 projections that can be unioned into the event table before it is written.
 Writing each table also cuts lineage, so a lost executor re-runs only the
 current table's job.
@@ -22,8 +22,7 @@ from pyspark.sql.types import StringType
 from ledgerlens.functions.expr import month_key
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
 from ledgerlens.sources.csv import read_csv
-from ledgerlens.sources.tables import (Tables, drop_staged, read_table, stage_table, switch_table, table_exists,
-                                       write_table)
+from ledgerlens.sources.tables import (Tables, drop_staged, read_table, stage_table, switch_table, write_table)
 
 log = logging.getLogger("ledgerlens.etl")
 
@@ -58,8 +57,8 @@ def load_table(spark: SparkSession, csv_path: str, root: str, table: str, skip_t
                schema=None) -> int:
     """Read a CSV, write it as the stored table (overwrite, or append with
     ``skip_truncate``) and check the stored count. Returns the rows loaded or -1.
-    A refresh is counted before it replaces the table: on a bad row or a wrong count the
-    previous table stays as it was.
+    What was written is counted before it becomes (a part of) the table: on a bad row or a
+    wrong count the table stays as it was.
 
     The source row count is an ``observe`` metric of the write job itself, so the
     CSV is read once.
@@ -70,19 +69,14 @@ def load_table(spark: SparkSession, csv_path: str, root: str, table: str, skip_t
                    lenient_dates=LENIENT_DATES.get(table, ()))
     obs = Observation(f"load_{table}")
     counted = src.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if skip_truncate:
-        before = read_table(spark, root, table).count() if table_exists(spark, root, table) else 0
-        write_table(counted, root, table, mode="append")
-        src_rows = obs.get["rows"]
-        return src_rows if validate_load(spark, root, table, before + src_rows) else -1
     staged = stage_table(counted, root, table)
     src_rows = obs.get["rows"]
-    stored = spark.read.parquet(staged).count()
+    stored = spark.read.schema(src.schema).parquet(staged).count()
     if stored != src_rows:
         log.error("Row count mismatch for %s: expected %d, got %d", table, src_rows, stored)
         drop_staged(spark, staged)
         return -1
-    switch_table(spark, staged, root, table)
+    switch_table(spark, staged, root, table, skip_truncate)
     return src_rows
 
 
@@ -149,7 +143,8 @@ class LoadResult:
 
 
 def load_all(spark: SparkSession, csv_dir: str, root: str, skip_truncate: bool = False) -> LoadResult:
-    """Load the five tables in FK order, then append the derived retry events."""
+    """Load the five tables in FK order, then append the derived retry events (not from the
+    old rows of a table whose load failed)."""
     rows: dict[str, int] = {}
     ok = True
     for stem, table in LOAD_PLAN:
@@ -157,6 +152,9 @@ def load_all(spark: SparkSession, csv_dir: str, root: str, skip_truncate: bool =
                        schema=TABLE_SCHEMAS[table])
         rows[table] = n
         ok &= n != -1
+    if -1 in (rows["payment_failures"], rows["revenue_events"]):
+        log.error("Retry events not derived: payment_failures or revenue_events did not load")
+        return LoadResult(ok=False, rows=rows)
     # Derived events read the failures table just written (lineage is cut by the write).
     retry = retry_success_events(read_table(spark, root, "payment_failures"))
     # Events that an earlier load appended are not appended again.

@@ -7,18 +7,20 @@ Stored layout (one folder per table under a root path, Parquet):
 * No bucketing by ``user_id``: with one user able to hold a third of all payments,
   that bucket would be one task's third of the table. Map-side pre-aggregation
   before each shuffle keeps hot users cheap instead.
-* A full refresh writes beside the table and is switched in by renaming once it is
-  complete (and, in the load path, counted); until then, and after any failure, the
-  previous table stays readable. Appends go through Spark's commit protocol.
+* Every change is a new version (``snapshots``): its data is written aside, in the load
+  path counted, and becomes the table by one small manifest written last. Whatever step
+  is lost, readers see the version before or the version after, never none.
+* Read tables are held against their StructType: a missing or retyped column is an error
+  that names it (``read_tables`` always, ``read_table`` on request).
 """
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
+from ledgerlens.sources.snapshots import Snapshots
 
 
 class Tables:
@@ -76,50 +78,67 @@ def table_path(root: str, name: str) -> str:
     return f"{root.rstrip('/')}/{name}"
 
 
-def _hadoop(spark: SparkSession, path: str):
-    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+def snapshots(spark: SparkSession, root: str, name: str) -> Snapshots:
+    return Snapshots(spark, table_path(root, name))
 
 
 def stage_table(df: DataFrame, root: str, name: str, partition_by: list[str] | None = None) -> str:
-    """Write a new version of a table beside the current one; returns its path."""
-    staged = f"{table_path(root, name)}.staged-{uuid.uuid4().hex[:12]}"
-    w = df.write.mode("errorifexists")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(staged)
-    return staged
+    """Write the data of a new version of a table; returns its folder."""
+    return snapshots(df.sparkSession, root, name).stage(df, partition_by)
 
 
 def drop_staged(spark: SparkSession, staged: str) -> None:
-    fs, p = _hadoop(spark, staged)
-    fs.delete(p, True)
-
-
-def switch_table(spark: SparkSession, staged: str, root: str, name: str) -> None:
-    """Make a staged version the table: the current one is renamed away first, renamed
-    back if the new one cannot take its place, and deleted only after it has."""
-    fs, new = _hadoop(spark, staged)
-    current, previous = (_hadoop(spark, table_path(root, name) + end)[1] for end in ("", f".previous-{uuid.uuid4().hex[:12]}"))
-    had = fs.exists(current)
-    if had and not fs.rename(current, previous):
-        raise OSError(f"cannot move the current {name} aside")
-    if not fs.rename(new, current):
-        if had:
-            fs.rename(previous, current)
-        raise OSError(f"cannot switch {name} to {staged}")
-    if had:
-        fs.delete(previous, True)
-
-
-def read_table(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """S2 ``src_table``: a stored table by name (the schema is that of the Parquet files)."""
+    Snapshots(spark, staged).discard(staged)
+
+
+def switch_table(spark: SparkSession, staged: str, root: str, name: str, append: bool = False) -> None:
+    """Make a staged folder the table (``append``: a part of it), then drop versions no longer kept."""
+    s = snapshots(spark, root, name)
+    s.commit([staged], append=append)
+    s.expire()
+
+
+ID_TYPES = {"string", "bigint", "int"}
+
+
+class SchemaMismatch(ValueError):
+    """A stored table doesn't have the columns of its contract."""
+
+
+def schema_differences(found: T.StructType, expected: T.StructType) -> list[tuple[str, str, str | None, str | None]]:
+    """(column, difference, found type, expected type) with difference missing, extra or retyped;
+    order and nullability are no difference, and ids may be text or whole numbers (they are only compared)."""
+    same = lambda c, a, b: a == b or (c.endswith("_id") and {a, b} <= ID_TYPES)
+    have = {f.name: f.dataType.simpleString() for f in found}
+    want = {f.name: f.dataType.simpleString() for f in expected}
+    out = [(c, "missing", None, t) for c, t in want.items() if c not in have]
+    out += [(c, "retyped", have[c], t) for c, t in want.items() if c in have and not same(c, have[c], t)]
+    return out + [(c, "extra", t, None) for c, t in have.items() if c not in want]
+
+
+def checked(df: DataFrame, name: str, expected: T.StructType | None = None) -> DataFrame:
+    """The frame itself if it has every column of the contract in its type (more may follow)."""
+    wrong = [f"{c} is {kind}" + (f" ({have} instead of {want})" if have else f" ({want})")
+             for c, kind, have, want in schema_differences(df.schema, expected or TABLE_SCHEMAS[name]) if kind != "extra"]
+    if wrong:
+        raise SchemaMismatch(f"table {name}: " + "; ".join(wrong))
+    return df
+
+
+def read_table(spark: SparkSession, root: str, name: str, contract: bool = False) -> DataFrame:
+    """S2 ``src_table``: a stored table by name, as its current version is; with ``contract``
+    the columns are held against the table's StructType."""
     if name not in TABLE_SCHEMAS:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(root, name))
+    s = snapshots(spark, root, name)
+    # Without any folder the plain path gives Spark's own error for a missing table.
+    df = spark.read.parquet(*(s.paths() or [s.path]))
+    return checked(df, name) if contract else df
 
 
 def read_tables(spark: SparkSession, root: str) -> Tables:
     """All five stored tables; each is opened (file listing, footers) on first use only."""
-    return Tables(**{n: (lambda n=n: read_table(spark, root, n)) for n in TABLE_NAMES})
+    return Tables(**{n: (lambda n=n: read_table(spark, root, n, contract=True)) for n in TABLE_NAMES})
 
 
 def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
@@ -127,11 +146,7 @@ def write_table(df: DataFrame, root: str, name: str, mode: str = "overwrite",
     """``overwrite`` = truncate + load (full refresh), ``append`` keeps rows."""
     if mode not in ("overwrite", "append"):
         raise ValueError("mode must be 'overwrite' or 'append'")
-    if mode == "overwrite":
-        switch_table(df.sparkSession, stage_table(df, root, name, partition_by), root, name)
-        return
-    w = df.write.mode("append")
-    (w.partitionBy(*partition_by) if partition_by else w).parquet(table_path(root, name))
+    switch_table(df.sparkSession, stage_table(df, root, name, partition_by), root, name, append=mode == "append")
 
 
 def write_tables(tables: Tables, root: str, mode: str = "overwrite",
@@ -148,9 +163,9 @@ def truncate_table(spark: SparkSession, root: str, name: str) -> None:
 
 
 def table_exists(spark: SparkSession, root: str, name: str) -> bool:
-    """True when something is stored at root/name; whether it can be read is the reader's matter."""
-    fs, p = _hadoop(spark, table_path(root, name))
-    return fs.exists(p)
+    """True when there is a version to read, also one that only a lost rename of the older layout left."""
+    s = snapshots(spark, root, name)
+    return s.exists() or (s.recover() is not None)
 
 
 def verify_tables(spark: SparkSession, root: str) -> DataFrame:
@@ -164,16 +179,23 @@ def create_tables(spark: SparkSession, root: str) -> list[str]:
 
     Returns the names that were created.
     """
-    created = []
-    for name, schema in TABLE_SCHEMAS.items():
-        if not table_exists(spark, root, name):
-            spark.createDataFrame([], schema).write.mode("errorifexists").parquet(table_path(root, name))
-            created.append(name)
+    created = [name for name in TABLE_NAMES if not table_exists(spark, root, name)]
+    for name in created:
+        write_table(spark.createDataFrame([], TABLE_SCHEMAS[name]), root, name)
     return created
 
 
-def reset_tables(spark: SparkSession, root: str) -> None:
-    """Empty every table, children before parents (reverse load order)."""
-    for name in reversed(TABLE_NAMES):
-        truncate_table(spark, root, name)
+def drop_tables(spark: SparkSession, root: str) -> list[str]:
+    """Drop every table that exists, children before parents; returns their names in that order."""
+    dropped = [name for name in reversed(TABLE_NAMES) if table_exists(spark, root, name)]
+    for name in dropped:
+        s = snapshots(spark, root, name)
+        s.drop()
+        s.expire(keep=1)
+    return dropped
 
+
+def reset_tables(spark: SparkSession, root: str) -> None:
+    """Drop all tables, children first, and create them anew, parents first."""
+    drop_tables(spark, root)
+    create_tables(spark, root)

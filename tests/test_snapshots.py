@@ -1,0 +1,169 @@
+"""Table versions behind a pointer: what readers see after a loss at any step."""
+
+from __future__ import annotations
+
+import json
+import os
+
+import pytest
+
+from ledgerlens.schema import TABLE_NAMES, TABLE_SCHEMAS
+from ledgerlens.sources import etl
+from ledgerlens.sources.snapshots import PLAIN, ConcurrentChange, Snapshots
+from ledgerlens.sources.tables import (SchemaMismatch, create_tables, drop_tables, read_table, read_tables, reset_tables, schema_differences, snapshots,
+                                       switch_table, table_exists, verify_tables, write_table)
+
+SCHEMA = "application_id string, user_id string, company string, fee decimal(18,2)"
+
+
+def apps(spark, *ids):
+    return spark.createDataFrame([(i, "u", "c", None) for i in ids], SCHEMA)
+
+
+def ids(spark, root):
+    return sorted(r[0] for r in read_table(spark, root, "applications").select("application_id").collect())
+
+
+class Lost(BaseException):
+    """The driver goes away: nothing that handles errors may run."""
+
+
+def csv_file(tmp_path, name, *rows):
+    path = tmp_path / name
+    path.write_text("application_id,user_id,company,fee\n" + "".join(f"{r},u1,c,10.00\n" for r in rows))
+    return str(path)
+
+
+@pytest.mark.parametrize("append", [False, True])
+@pytest.mark.parametrize("step", ["stage", "count", "create", "write", "close", "expire"])
+def test_loss_at_each_step_of_a_load(spark, tmp_path, monkeypatch, step, append):
+    root = str(tmp_path / "root")
+    load = lambda name: etl.load_table(spark, csv_file(tmp_path, f"{name}.csv", name), root, "applications", append, schema=SCHEMA)
+    assert load("old") == 1
+
+    def lost(*_, **__):
+        raise Lost
+
+    def half(self, number, folders):
+        """The manifest's file is there, empty or cut off, when the driver goes."""
+        body = "" if step == "create" else json.dumps({"folders": folders, "made": 0, "complete": True})[:-9]
+        with open(f"{self.path}/_manifests/{number:010d}.json", "w") as f:
+            f.write(body)
+        raise Lost
+
+    with monkeypatch.context() as m:
+        if step == "stage":
+            stage = Snapshots.stage
+            m.setattr(Snapshots, "stage", lambda self, *a: (stage(self, *a), lost()))
+        elif step == "count":
+            m.setattr(etl, "switch_table", lost)
+        elif step in ("create", "write"):
+            m.setattr(Snapshots, "_write", half)
+        elif step == "close":
+            m.setattr(Snapshots, "_write", lost)
+        else:
+            m.setattr(Snapshots, "expire", lost)
+        with pytest.raises(Lost):
+            load("new")
+    want = ["old"] if step != "expire" else ["new", "old"] if append else ["new"]
+    assert ids(spark, root) == want and table_exists(spark, root, "applications")
+    assert create_tables(spark, root) == [n for n in TABLE_NAMES if n != "applications"]  # no empty table over it
+    assert ids(spark, root) == want
+    assert load("next") == 1
+    assert ids(spark, root) == (sorted([*want, "next"]) if append else ["next"])
+
+
+def test_no_rename_is_ever_needed(spark, tmp_path, monkeypatch):
+    import ledgerlens.sources.snapshots as module
+
+    assert "self._fs.rename" not in open(module.__file__).read().split("def recover")[0]
+
+
+def test_second_writer_fails_instead_of_undoing_the_first(spark, tmp_path):
+    root = str(tmp_path / "root")
+    write_table(apps(spark, "a"), root, "applications")
+    s = snapshots(spark, root, "applications")
+    base = s.current()
+    one, two = s.stage(apps(spark, "b")), s.stage(apps(spark, "c"))
+    s.commit([one], base, append=True)
+    with pytest.raises(ConcurrentChange):
+        s.commit([two], base, append=True)
+    assert ids(spark, root) == ["a", "b"]
+    number = s.current()[0]
+    with pytest.raises(ConcurrentChange):
+        s._write(number, [])
+    assert ids(spark, root) == ["a", "b"]
+
+
+def test_expire_keeps_readers_of_the_last_version_and_running_writers(spark, tmp_path):
+    root = str(tmp_path / "root")
+    write_table(apps(spark, "a"), root, "applications")
+    reader = read_table(spark, root, "applications")
+    s = snapshots(spark, root, "applications")
+    running = s.stage(apps(spark, "running"))
+    write_table(apps(spark, "b"), root, "applications")
+    assert [r[0] for r in reader.collect()] == ["a"] and ids(spark, root) == ["b"]
+    write_table(apps(spark, "c"), root, "applications")
+    assert len(os.listdir(tmp_path / "root/applications/_versions")) == 3  # two versions and the running one
+    switch_table(spark, running, root, "applications")
+    assert ids(spark, root) == ["running"]
+    left = s.stage(apps(spark, "left"))
+    assert s.expire(staged_age=-60) == ["_versions/" + left.rsplit("/", 1)[1]] and ids(spark, root) == ["running"]
+
+
+def test_plain_folders_and_lost_renames_of_the_older_layout(spark, tmp_path):
+    root = str(tmp_path / "root")
+    apps(spark, "plain").write.parquet(f"{root}/applications")
+    assert ids(spark, root) == ["plain"] and snapshots(spark, root, "applications").current() == (0, [PLAIN])
+    write_table(apps(spark, "more"), root, "applications", mode="append")
+    assert ids(spark, root) == ["more", "plain"]
+    write_table(apps(spark, "x"), root, "applications")
+    write_table(apps(spark, "y"), root, "applications")
+    assert ids(spark, root) == ["y"] and not [f for f in os.listdir(tmp_path / "root/applications") if f.endswith(".parquet")]
+
+    other = str(tmp_path / "other")
+    apps(spark, "was renamed away").write.parquet(f"{other}/applications.previous-1")
+    apps(spark, "never came in").write.parquet(f"{other}/applications.staged-2")
+    assert table_exists(spark, other, "applications") and ids(spark, other) == ["was renamed away"]
+    assert "applications" not in create_tables(spark, other)
+
+
+def test_drop_goes_children_first_and_reset_creates_anew(spark, tmp_path):
+    root = str(tmp_path / "root")
+    create_tables(spark, root)
+    write_table(apps(spark, "a"), root, "applications")
+    assert drop_tables(spark, root) == list(reversed(TABLE_NAMES))
+    assert not any(r.exists for r in verify_tables(spark, root).collect()) and drop_tables(spark, root) == []
+    with pytest.raises(Exception):
+        read_table(spark, root, "applications").count()
+    write_table(apps(spark, "b"), root, "applications")
+    assert ids(spark, root) == ["b"]
+    reset_tables(spark, root)
+    assert all(r.exists for r in verify_tables(spark, root).collect()) and ids(spark, root) == []
+
+
+def test_schema_contract_names_the_column(spark, tmp_path):
+    root = str(tmp_path / "root")
+    create_tables(spark, root)
+    wrong = spark.createDataFrame([("a", 1.5, "x")], "application_id string, fee double, note string")
+    write_table(wrong, root, "applications")
+    assert schema_differences(wrong.schema, TABLE_SCHEMAS["applications"]) == [
+        ("user_id", "missing", None, "string"), ("company", "missing", None, "string"),
+        ("fee", "retyped", "double", "decimal(18,2)"), ("note", "extra", "string", None)]
+    with pytest.raises(SchemaMismatch, match="user_id is missing.*fee is retyped"):
+        read_table(spark, root, "applications", contract=True)
+    with pytest.raises(SchemaMismatch, match="applications"):
+        _ = read_tables(spark, root).applications
+    assert read_tables(spark, root).users.count() == 0
+    assert read_table(spark, root, "applications").count() == 1
+
+
+def test_events_are_not_derived_from_a_table_that_did_not_load(spark, tmp_path, monkeypatch):
+    root = str(tmp_path / "root")
+    create_tables(spark, root)
+    real = etl.load_table
+    monkeypatch.setattr(etl, "load_table", lambda spark, path, root, table, *a, **k: -1 if table == "payment_failures" else 0)
+    before = snapshots(spark, root, "revenue_events").current()
+    result = etl.load_all(spark, str(tmp_path), root)
+    assert not result.ok and result.rows["payment_failures"] == -1 and snapshots(spark, root, "revenue_events").current() == before
+    assert real is not etl.load_table
