@@ -22,50 +22,46 @@ DASH = "—"
 SPLIT = 134217729.0  # 2^27 + 1 cuts a double into two halves whose small multiples are exact
 
 
-def _let(value: Column, then) -> Column:
-    """``then(value)`` with the value computed once."""
-    return F.get(F.transform(F.array(value), then), 0)
+def _bound(value: str, name: str, use: str) -> str:
+    """SQL text of ``use`` with ``value`` computed once as ``name``."""
+    return f"get(transform(array({value}), {name} -> {use}), 0)"
 
 
-def _units(x: Column, digits: int) -> Column:
+def _units(digits: int) -> str:
     """x * 10^digits rounded half-even on the exact binary value of x, as a whole double.
 
     The product p of doubles may be off by a part of its last bit. Where p is exactly
-    half-way the sign of that error, computed without error, says which side x is on.
+    half-way the sign of that error e, computed without error, says which side x is on.
     """
-    scale = F.lit(float(10 ** digits))
-    high = F.lit(SPLIT) * x - (F.lit(SPLIT) * x - x)
-    error = (high * scale - x * scale) + (x - high) * scale
+    scale, cut = f"{float(10 ** digits)}D", f"{SPLIT}D * x"
+    error = f"(((h * {scale}) - (x * {scale})) + ((x - h) * {scale}))"
+    tie = f"CASE WHEN e < 0 THEN CAST(floor(p) AS DOUBLE) WHEN e > 0 THEN CAST(floor(p) AS DOUBLE) + 1.0D ELSE rint(p) END"
+    rounded = f"IF(p - CAST(floor(p) AS DOUBLE) = 0.5D, {_bound(_bound(f'({cut}) - (({cut}) - x)', 'h', error), 'e', tie)}, rint(p))"
+    return _bound(f"x * {scale}", "p", rounded)
 
-    def pick(p):
-        low = F.floor(p).cast("double")
-        tie = F.when(error < 0, low).when(error > 0, low + F.lit(1.0)).otherwise(F.rint(p))
-        return F.when(p - low == 0.5, tie).otherwise(F.rint(p))
 
-    return _let(x * scale, pick)
+def _text(digits: int, commas: bool) -> str:
+    """SQL text of the format of the double ``x``."""
+    step = f"{Decimal(1).scaleb(-digits):f}BD"
+    plain = f"CAST(CAST(k AS DECIMAL(20,0)) * {step} AS DECIMAL({20 + digits},{digits}))"
+    text = f"format_number({plain}, {digits})" if commas else f"CAST({plain} AS STRING)"
+    return _bound(_units(digits), "k", f"IF((x < 0) AND (k = 0), concat('-', {text}), {text})")
 
 
-def _formatted(c: ColumnOrName, digits: int, write) -> Column:
-    step = F.lit(Decimal(1).scaleb(-digits))
-
-    def text(x):
-        def of(k):
-            t = write((k.cast("decimal(20,0)") * step).cast(f"decimal({20 + digits},{digits})"))
-            return F.when((x < 0) & (k == 0), F.concat(F.lit("-"), t)).otherwise(t)
-
-        return _let(_units(x, digits), of)
-
-    return _let(_c(c).cast("double"), text)
+def _formatted(c: ColumnOrName, digits: int, commas: bool) -> Column:
+    # The format is one SQL text, parsed at once: as nested Column calls it took the driver longer than the query.
+    lines = F.call_function("transform", F.array(_c(c).cast("double")), F.expr(f"x -> {_text(digits, commas)}"))
+    return F.get(lines, 0)
 
 
 def fixed(c: ColumnOrName, digits: int) -> Column:
     """``{x:.Nf}`` text as Python writes it: the exact binary value, ties to even."""
-    return _formatted(c, digits, lambda d: d.cast("string"))
+    return _formatted(c, digits, False)
 
 
 def fixed_commas(c: ColumnOrName, digits: int) -> Column:
     """``{x:,.Nf}`` text (thousands separators)."""
-    return _formatted(c, digits, lambda d: F.format_number(d, digits))
+    return _formatted(c, digits, True)
 
 
 def fmt_inr(c: ColumnOrName) -> Column:

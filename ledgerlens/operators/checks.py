@@ -3,8 +3,7 @@
 Each check is a row ``check_name, status, message, metric, threshold`` (all
 STRING). The aggregates are computed by Spark and the status rule and message
 are column expressions (``when`` chains, ``format_string``), so a check never
-pulls data to the driver. ``run_all_isolated`` evaluates each check as its own
-job so that one that raises becomes an ``ERROR`` row instead of failing the report.
+pulls data to the driver; the report reads one row per aggregate pass.
 
 Plan: all eight checks are answered from five aggregate passes —
 
@@ -16,15 +15,17 @@ Plan: all eight checks are answered from five aggregate passes —
   the group sizes, so no second count);
 * users and payment_failures: cohort statistics and null counts.
 
-The one-row results are combined into one wide row (``union`` + ``max``, no
-join) and ``run_all`` turns it into the eight check rows with
-``inline(array(struct, …))``. Separate selects per check would not share work:
-Catalyst prunes each copy of the shared aggregate to the columns that copy
-needs, so the copies differ and each would rescan payments.
+The report (``run_all``) runs every pass once, side by side, and applies the rules to the
+five one-row results: five jobs, three scans of payments. A pass that fails is carried
+to the checks that need it: those are then evaluated on their own, where a check reads only
+the columns of its rule, and one that still raises is an ``ERROR`` row with the whole text.
+A check asked for alone combines the passes it needs into one row (``union`` + ``max``).
 """
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -371,32 +372,57 @@ class Validator:
                 .orderBy("ord").drop("ord"))
 
     # -- V11 / V12 -----------------------------------------------------------------------
-    def run_all(self) -> DataFrame:
-        """The eight checks in fixed order from one wide row of the five aggregate passes."""
+    def pass_results(self) -> dict[str, dict | Exception]:
+        """Each aggregate pass's values by column, or the error that ended it; the passes run side by side."""
         parts = list(dict.fromkeys(p for name in self.CHECK_ORDER for p in self.NEEDS[name]))
-        rows = []
-        for name in self.CHECK_ORDER:
-            status, msg, metric, thr = getattr(self, f"_rule_{name}")()
-            rows.append(F.struct(F.lit(name).alias("check_name"), status.alias("status"), msg.alias("message"),
-                                 metric.cast("string").alias("metric"), thr.cast("string").alias("threshold")))
-        return self._wide(*parts).select(F.inline(F.array(*rows)))
 
-    def run_all_isolated(self, spark: SparkSession | None = None) -> DataFrame:
-        """Like ``run_all`` but each check runs as its own job; one that raises becomes
-        an ERROR row with the whole error text. Only the eight one-row results reach the driver."""
+        def one(part: str) -> dict | Exception:
+            try:
+                df = getattr(self, part)()
+                row = df.first()  # an aggregate without groups: always one row
+                return {f.name: F.lit(row[f.name]).cast(f.dataType) for f in df.schema}
+            except Exception as exc:  # noqa: BLE001 - goes to the checks that need the pass
+                return exc
+
+        with ThreadPoolExecutor(len(parts)) as pool:
+            return dict(zip(parts, pool.map(one, parts), strict=True))
+
+    def _by_rule(self, spark: SparkSession, names: list[str], values: dict[str, Column]) -> list[tuple]:
+        """Result rows of checks whose passes are done: constants in, so nothing is scanned."""
+        rules = []
+        for name in names:
+            status, msg, metric, thr = getattr(self, f"_rule_{name}")()
+            rules.append(F.struct(F.lit(name).alias("check_name"), status.alias("status"), msg.alias("message"),
+                                  metric.cast("string").alias("metric"), thr.cast("string").alias("threshold")).alias(name))
+        row = spark.range(1).select(*(c.alias(k) for k, c in values.items())).select(*rules).first()
+        return [tuple(row[name][c] for c in CHECK_COLUMNS) for name in names]
+
+    def run_all(self, spark: SparkSession | None = None) -> DataFrame:
+        """The eight checks in fixed order; one that raises becomes an ERROR row with the whole
+        error text. Only the one-row results of passes and checks reach the driver."""
         spark = spark or SparkSession.active()
-        rows = []
+        results = self.pass_results()
+        values = {k: c for r in results.values() if isinstance(r, dict) for k, c in r.items()}
+        sound = [n for n in self.CHECK_ORDER if all(isinstance(results[p], dict) for p in self.NEEDS[n])]
+        try:
+            rows = dict(zip(sound, self._by_rule(spark, sound, values), strict=True)) if sound else {}
+        except Exception:  # noqa: BLE001 - some rule raises: the checks are evaluated one by one below
+            rows = {}
         for name in self.CHECK_ORDER:
-            try:
-                r = getattr(self, name)().first()
-                rows.append(tuple(r[c] for c in CHECK_COLUMNS))
-            except Exception as exc:  # noqa: BLE001 - any failure of one check is reported, not raised
-                rows.append((name, "ERROR", str(exc) or repr(exc), None, None))
-        return spark.createDataFrame(rows, ", ".join(f"{c} string" for c in CHECK_COLUMNS))
+            if name not in rows:
+                try:
+                    rows[name] = self._by_rule(spark, [name], values)[0] if name in sound else tuple(getattr(self, name)().first())
+                except Exception as exc:  # noqa: BLE001 - any failure of one check is reported, not raised
+                    rows[name] = (name, "ERROR", str(exc) or repr(exc), None, None)
+        return spark.createDataFrame([rows[n] for n in self.CHECK_ORDER], ", ".join(f"{c} string" for c in CHECK_COLUMNS))
+
+    def run_all_isolated(self, spark: SparkSession | None = None) -> DataFrame:
+        """The same as ``run_all``, which isolates its checks itself."""
+        return self.run_all(spark)
 
     def quality_report(self) -> DataFrame:
         """The report users read: a check that raises is an ERROR row, the others still stand."""
-        return self.run_all_isolated()
+        return self.run_all()
 
     def export_quality_report(self, out_dir: str) -> str:
         """The check rows (five columns, no detail) as ``quality_report.csv``."""
