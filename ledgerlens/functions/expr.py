@@ -48,11 +48,19 @@ def month_key(d: ColumnOrName) -> Column:
     return F.date_format(_c(d), "yyyy-MM")
 
 
+def leading_int(c: ColumnOrName) -> Column:
+    """The whole number a text begins with (blanks and a sign may lead), 0 where there is none, NULL of
+    NULL: the lenient reading of a text as a number. For texts of up to nine digits."""
+    digits = F.regexp_extract(_c(c), r"^[ \t\n\f\r\x0B]*([+-]?[0-9]+)", 1)
+    return F.when(digits == "", F.lit(0)).otherwise(F.nullif(digits, F.lit("")).cast("int"))
+
+
 def month_offset(d: ColumnOrName, cohort_month: ColumnOrName) -> Column:
-    """Whole calendar months from a YYYY-MM cohort to the month of ``d``."""
+    """Whole calendar months from a YYYY-MM cohort to the month of ``d``; a malformed cohort month
+    counts with the numbers it begins with, so its rows stay."""
     cm = _c(cohort_month)
-    return ((F.year(_c(d)) - F.substring(cm, 1, 4).try_cast("int")) * F.lit(12)
-            + (F.month(_c(d)) - F.substring(cm, 6, 2).try_cast("int")))
+    return ((F.year(_c(d)) - leading_int(F.substring(cm, 1, 4))) * F.lit(12)
+            + (F.month(_c(d)) - leading_int(F.substring(cm, 6, 2))))
 
 
 def count_where(cond: Column) -> Column:

@@ -24,7 +24,9 @@ A check asked for alone combines the passes it needs into one row (``union`` + `
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -122,6 +124,18 @@ def _pick(*branches: tuple[Column, Column], otherwise: Column) -> Column:
     return expr.otherwise(otherwise)
 
 
+@dataclass(frozen=True)
+class CheckResult:
+    """A check row with the records behind it; ``detail`` is planned when it is asked for."""
+
+    check: DataFrame
+    _detail: Callable[[], DataFrame] | None = None
+
+    @property
+    def detail(self) -> DataFrame | None:
+        return self._detail() if self._detail else None
+
+
 class Validator:
     def __init__(self, tables: Tables | dict[str, DataFrame], params: Params | None = None):
         self.t = as_tables(tables)
@@ -359,6 +373,15 @@ class Validator:
         orphans = per_user.join(self.t.users.select("user_id"), "user_id", "left_anti")
         return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("bigint").alias("orphan_payments"))
 
+    # Checks with records behind them, by the method that lists these.
+    DETAILS = {"detect_duplicates": "duplicates_detail", "detect_nulls": "null_scan"}
+
+    def result(self, name: str) -> CheckResult:
+        """One check with its detail: the top duplicate groups, the scanned columns, or none."""
+        if name not in self.NEEDS:
+            raise KeyError(f"unknown check {name!r}")
+        return CheckResult(getattr(self, name)(), getattr(self, self.DETAILS[name]) if name in self.DETAILS else None)
+
     def duplicates_detail(self, limit: int = 20) -> DataFrame:
         """Top ``limit`` duplicate groups by count, then amount (a top-k report)."""
         return (duplicate_groups(self.t.payments, top=limit)

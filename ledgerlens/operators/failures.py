@@ -7,7 +7,8 @@ Plan notes:
   shuffle and a hot fingerprint is one row a map task. Phase 2 semi-joins payments to the
   (usually few) repeated hashes (AQE broadcasts that side only when its measured size is
   under the threshold) and regroups on the exact keys (NULL user = NULL user, as SQL
-  GROUP BY does). Top-k reports choose their groups by count before any id list is built.
+  GROUP BY does). Top-k reports choose their groups by count before any id list is built, and
+  the ids of a large group are collected and sorted in parts by many tasks.
 * Stale pendings (F6) are a LEFT ANTI join (not LEFT JOIN + IS NULL, which
   Spark would keep as an outer join plus filter) against events first reduced
   by a LEFT SEMI join to the pending ids, so the event table is never shuffled
@@ -30,6 +31,7 @@ from ledgerlens.params import Params
 from ledgerlens.sources.tables import Tables, as_tables
 
 FINGERPRINT = ("user_id", "payment_date", "amount")
+CHUNK = 50_000  # ids of one group that one task collects and sorts
 
 # Fixed values that must equal the reference's null-monitoring labels (in its order).
 NULL_MONITOR_LABELS = (
@@ -48,29 +50,43 @@ def _stack(labels_and_cols: list[tuple[str, str]], name: str = "check_name",
     return f"stack({len(labels_and_cols)}, {parts}) AS ({name}, {value})"
 
 
+def _payment_null_counts() -> list:
+    """The three null monitoring counts of payments, under the places of their labels."""
+    st, reason = F.col("status"), F.col("failure_reason")
+    return [count_where(~st.isin("failed", "refunded") & reason.isNotNull()).alias("a"),
+            count_where((st == "failed") & reason.isNull()).alias("b"),
+            count_where(F.col("user_id").isNull()).alias("e")]
+
+
 def _fingerprint_hash():
     """One 64-bit key per fingerprint (NULLs hash like any value, so NULL user = NULL user)."""
     return F.xxhash64(*[F.col(k) for k in FINGERPRINT])
 
 
-def duplicate_members(payments: DataFrame) -> DataFrame:
+def duplicate_members(payments: DataFrame, size: str | None = None) -> DataFrame:
     """Payments whose fingerprint hash occurs more than once (all duplicates; a hash
-    collision can let other rows through, so the exact keys decide afterwards)."""
+    collision can let other rows through, so the exact keys decide afterwards). ``size``:
+    also the number of payments of the hash, as a column of that name."""
     hashed = payments.withColumn("_fp", _fingerprint_hash())
-    again = hashed.groupBy("_fp").agg(F.count("payment_id").alias("n")).where(F.col("n") > 1).select("_fp")
-    return hashed.join(again, "_fp", "left_semi").drop("_fp")
+    again = hashed.groupBy("_fp").agg(F.count("payment_id").alias("_n")).where(F.col("_n") > 1)
+    if size is None:
+        return hashed.join(again.select("_fp"), "_fp", "left_semi").drop("_fp")
+    return hashed.join(again, "_fp").withColumnRenamed("_n", size).drop("_fp")
 
 
-def duplicate_groups(payments: DataFrame, with_gateway: bool = True, top: int | None = None) -> DataFrame:
+def duplicate_groups(payments: DataFrame, with_gateway: bool = True, top: int | None = None, chunk: int = CHUNK) -> DataFrame:
     """Fingerprint groups with more than one payment id, with the sorted id list.
 
     Output: user_id, payment_date, amount (DOUBLE), duplicate_count, payment_ids[, gateway].
     ``gateway`` is the smallest gateway of the group (deterministic stand-in for an
     arbitrary row's value). ``top``: only the first groups by count, amount, user and day;
     they are chosen by their counts, and id lists are built for these alone.
+
+    A group's ids are dealt by hash into parts of about ``chunk``; each part is collected and
+    sorted by a task of its own, and the sorted parts are merged where the list is written.
     """
     keys = list(FINGERPRINT)
-    members = duplicate_members(payments)
+    members = duplicate_members(payments, size="_n")
     if top is not None:
         first = (members.groupBy(*keys).agg(F.count("payment_id").alias("n")).where(F.col("n") > 1)
                  .orderBy(F.desc("n"), F.desc("amount"), "user_id", "payment_date").limit(top)
@@ -79,12 +95,13 @@ def duplicate_groups(payments: DataFrame, with_gateway: bool = True, top: int |
         for k in keys:
             same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
         members = members.join(first, same, "left_semi")
-    aggs = [F.count("payment_id").alias("duplicate_count"),
-            F.array_join(F.array_sort(F.collect_list("payment_id")).cast("array<string>"), ",")
-            .alias("payment_ids")]
-    if with_gateway:
-        aggs.append(F.min("gateway").alias("gateway"))
-    g = members.groupBy(*keys).agg(*aggs).where(F.col("duplicate_count") > 1)
+    part = F.pmod(F.xxhash64("payment_id"), F.ceil(F.col("_n") / chunk))
+    gateway = [F.min("gateway").alias("gateway")] if with_gateway else []
+    parts = (members.withColumn("_part", part).groupBy(*keys, "_part")
+             .agg(F.count("payment_id").alias("cnt"), F.array_sort(F.collect_list("payment_id")).alias("ids"), *gateway))
+    ids = F.array_sort(F.flatten(F.collect_list("ids"))).cast("array<string>")  # sorted runs: a merge
+    g = (parts.groupBy(*keys).agg(F.sum("cnt").alias("duplicate_count"), F.array_join(ids, ",").alias("payment_ids"), *gateway)
+         .where(F.col("duplicate_count") > 1))
     return g.withColumn("amount", money("amount"))
 
 
@@ -249,19 +266,18 @@ class FailureMonitor:
 
     # -- F11 -----------------------------------------------------------------------------
     def null_monitoring(self) -> DataFrame:
-        p, u, pf = self.t.payments, self.t.users, self.t.payment_failures
-        st, reason = F.col("status"), F.col("failure_reason")
-        a, b, c, d, e = NULL_MONITOR_LABELS
-        pay = p.agg(count_where(~st.isin("failed", "refunded") & reason.isNotNull()).alias("a"),
-                    count_where((st == "failed") & reason.isNull()).alias("b"),
-                    count_where(F.col("user_id").isNull()).alias("e"))
-        usr = u.agg(count_where(F.col("active").isNull()).alias("c"))
-        fl = pf.agg(count_where((F.col("recovered") == 1) & F.col("recovery_date").isNull()).alias("d"))
-        rows = (pay.selectExpr(_stack([(a, "a"), (b, "b"), (e, "e")]))
-                .unionByName(usr.selectExpr(_stack([(c, "c")])))
-                .unionByName(fl.selectExpr(_stack([(d, "d")]))))
+        a, b, _, _, e = NULL_MONITOR_LABELS
+        pay = self.t.payments.agg(*_payment_null_counts())
+        rows = pay.selectExpr(_stack([(a, "a"), (b, "b"), (e, "e")])).unionByName(self._other_null_counts())
         return rows.orderBy(F.desc("issue_count"), "check_name")
 
+    def _other_null_counts(self) -> DataFrame:
+        """The null monitoring rows of users and payment_failures."""
+        _, _, c, d, _ = NULL_MONITOR_LABELS
+        usr = self.t.users.agg(count_where(F.col("active").isNull()).alias("c"))
+        fl = self.t.payment_failures.agg(count_where((F.col("recovered") == 1) & F.col("recovery_date").isNull()).alias("d"))
+        return usr.selectExpr(_stack([(c, "c")])).unionByName(fl.selectExpr(_stack([(d, "d")])))
+
     # -- F12 -----------------------------------------------------------------------------
     def reconciliation_check(self) -> dict[str, DataFrame]:
         return {"duplicates": self.duplicate_transactions(),
@@ -269,15 +285,20 @@ class FailureMonitor:
                 "nulls": self.null_monitoring()}
 
     def reconciliation_summary(self) -> DataFrame:
-        """One row per reconciliation part: offending rows, and for nulls the checks with issues."""
-        r = self.reconciliation_check()
-        # Counting duplicate groups needs only the fingerprint counts, not the id lists.
-        dup = (self.t.payments.groupBy(*FINGERPRINT).agg(F.count("payment_id").alias("n"))
-               .agg(F.lit("duplicates").alias("section"), count_where(F.col("n") > 1).alias("rows")))
-        stale = r["stale_pending"].agg(F.lit("stale_pending").alias("section"), F.count(F.lit(1)).alias("rows"))
-        nulls = r["nulls"].agg(F.lit("null_alerts").alias("section"),
-                               count_where(F.col("issue_count") > 0).alias("rows"))
-        return dup.unionByName(stale).unionByName(nulls)
+        """One row per reconciliation part: offending rows, and for nulls the checks with issues.
+
+        Duplicate groups and the null counts of payments come from one scan: the counts ride
+        along with the fingerprint counts (id lists are not needed). Stale payments are looked
+        up by id, from the pending rows alone (the status is pushed into their scan).
+        """
+        per = self.t.payments.groupBy(*FINGERPRINT).agg(F.count("payment_id").alias("n"), *_payment_null_counts())
+        one = per.agg(count_where(F.col("n") > 1).alias("dups"), *(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in "abe"))
+        stale = self.stale_pending().agg(F.lit("stale_pending").alias("section"), F.count(F.lit(1)).alias("rows"))
+        others = self._other_null_counts().agg(F.lit("null_alerts").alias("section"), count_where(F.col("issue_count") > 0).alias("rows"))
+        paid = F.expr("CAST(a > 0 AS BIGINT) + CAST(b > 0 AS BIGINT) + CAST(e > 0 AS BIGINT)")
+        both = one.select(F.explode(F.array(F.struct(F.lit("duplicates").alias("section"), F.col("dups").alias("rows")),
+                                            F.struct(F.lit("null_alerts").alias("section"), paid.alias("rows")))).alias("r")).select("r.*")
+        return both.unionByName(others).unionByName(stale).groupBy("section").agg(F.sum("rows").alias("rows"))
 
     def retry_analysis_summary(self) -> DataFrame:
         r = self.retry_analysis()

@@ -36,11 +36,6 @@ CHECK_NAME_WIDTH = 42
 STATUS_WIDTH = 5
 
 
-def _whole() -> Window:
-    """A window over the whole (small, already aggregated) frame."""
-    return Window.partitionBy(F.lit(1))
-
-
 # -- D1 --------------------------------------------------------------------------------
 def growth_clean(growth: DataFrame) -> DataFrame:
     return growth.na.drop(subset=["growth_pct"])
@@ -48,10 +43,11 @@ def growth_clean(growth: DataFrame) -> DataFrame:
 
 # -- D2 / D3 -----------------------------------------------------------------------------
 def share_of_total(df: DataFrame, value: str, out: str) -> DataFrame:
-    """``value`` as % of its column total, summed exactly (2-dp money as DECIMAL)."""
+    """``value`` as % of its column total, summed exactly (2-dp money as DECIMAL). The total is one
+    row of its own, so the rows stay where they are, however many texts they are grouped by."""
     dec = F.col(value).cast("decimal(38,2)")
-    total = F.sum(dec).over(_whole())
-    return df.withColumn(out, pct(dec, total))
+    total = df.agg(F.sum(dec).alias("_total"))
+    return df.crossJoin(F.broadcast(total)).withColumn(out, pct(dec, "_total")).drop("_total")
 
 
 def gateway_revenue_share(by_gateway: DataFrame) -> DataFrame:

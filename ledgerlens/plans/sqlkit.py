@@ -46,10 +46,16 @@ def DADD(d: str, n: str) -> str:
     return f"CAST({d} + {n} AS DATE)"
 
 
+def LEADING_INT(text: str) -> str:
+    """The whole number ``text`` begins with, 0 where there is none, NULL of NULL."""
+    number = f"regexp_extract({text}, '^[ \\t\\n\\f\\r\\x0B]*([+-]?[0-9]+)', 1)"
+    return f"CASE {number} WHEN '' THEN 0 ELSE CAST(nullif({number}, '') AS INTEGER) END"
+
+
 def MOFF(d: str, cm: str) -> str:
     """Whole calendar months from cohort YYYY-MM ``cm`` to the month of ``d``."""
-    return (f"((CAST(year({d}) AS INTEGER) - TRY_CAST(substr({cm}, 1, 4) AS INTEGER)) * 12"
-            f" + (CAST(month({d}) AS INTEGER) - TRY_CAST(substr({cm}, 6, 2) AS INTEGER)))")
+    return (f"((CAST(year({d}) AS INTEGER) - {LEADING_INT(f'substr({cm}, 1, 4)')}) * 12"
+            f" + (CAST(month({d}) AS INTEGER) - {LEADING_INT(f'substr({cm}, 6, 2)')}))")
 
 
 # The fixture binding (FIXTURES.md §3) in DuckDB dialect. It ends in the CTE
