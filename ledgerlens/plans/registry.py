@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerlens.operators.alerts import AlertRules
 from ledgerlens.operators.checks import Validator
 from ledgerlens.operators.cohort import CohortEngine
 from ledgerlens.operators.failures import FailureMonitor
@@ -53,6 +54,11 @@ _reg("sql_failure_rate", _metrics("failed_payment_pct", with_success=True))
 _reg("sql_revenue_growth", _metrics("revenue_growth"))
 
 
+# Extensions: rules the reference names in prose only.
+for _m in ("revenue_alert", "negative_growth_runs", "gateway_trailing_success"):
+    _reg(_m, lambda spark, d, m=_m: getattr(AlertRules(bound(spark, d), FIXTURE_PARAMS), m)())
+
+
 def _failures(method: str, **kw) -> QueryFn:
     return lambda spark, d: getattr(FailureMonitor(bound(spark, d), FIXTURE_PARAMS), method)(**kw)
 
