@@ -124,6 +124,8 @@ def candidates(docs: DataFrame, units: Units) -> DataFrame:
     every = stored(keyed(docs).mapInArrow(extract, RUNS), "runs")
     again = (every.groupBy("seed").agg(F.count(F.lit(1)).alias("n"), F.min("block").alias("a"), F.max("block").alias("b"))
              .where("n > 1").select("seed", (F.col("a") != F.col("b")).alias("mixed")))
+    # Written first: sharing the shuffle of its count, the join could not split the runs of a hot seed.
+    again = stored(again, "repeated-seeds")
     return stored(every.join(again, "seed").select("id", "h", "seed", "block", "first", "last", "mixed"), "repeated-runs")
 
 
