@@ -306,9 +306,10 @@ def texts_of(rows: DataFrame, names: DataFrame) -> DataFrame:
 def links(rows: DataFrame, sets: DataFrame, percent: int, size: int, block: int = BLOCK) -> DataFrame:
     """node, root: connected parts of the sets (name, n, regs) that have a link."""
     shared = shared_bands(sets, block)
+    # The texts of all sets that share a band, fetched once for both passes.
+    texts = stored(texts_of(rows, shared.select("name").distinct()), "shared-texts")
     tried = stored(best_pairs(shared, sets.select("name", "regs", "n", F.col("name").alias("label")), percent), "first-pairs")
-    both = tried.select(F.col("a").alias("name")).union(tried.select(F.col("b").alias("name"))).distinct()
-    found = stored(verified(tried, stored(texts_of(rows, both), "first-texts"), percent, size), "first-links")
+    found = stored(verified(tried, texts, percent, size), "first-links")
     roots = stored(components(found), "first-groups")
     labelled = sets.join(roots.withColumnRenamed("node", "name"), "name", "left").select("name", "regs", "n", F.coalesce("root", "name").alias("label"))
     labelled = stored(labelled, "labelled-sets")
@@ -317,7 +318,6 @@ def links(rows: DataFrame, sets: DataFrame, percent: int, size: int, block: int
     differ = (more.select("key", "name").join(labelled.select("name", "label"), "name")
               .groupBy("key").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("key"))
     differ = stored(more.join(differ, "key", "left_semi"), "open-bands")
-    texts = texts_of(rows, differ.select("name").distinct())
     between = links_between_groups(differ, labelled.join(texts, "name"), percent, size)
     return components(found.union(between))
 
