@@ -285,8 +285,61 @@ def test_multikey_quicksort_and_minimum():
     assert repeats.sliding_min(x, 7).tolist() == [x[i:i + 7].min() for i in range(194)]
 
 
-def test_rlz_parse_changes_reference_at_a_factor_end():
-    assert rlz.parse(9, [(0, 1, 9), (1, 1, 9), (2, 2, 9), (5, 9, 9)]) == [(0, 1, 1), (2, 2, 2), (5, 5, 9)]
+def test_rlz_greedy_takes_the_longest_copy_and_looks_up_the_factor_end():
+    assert rlz.greedy([(0, 2, 1, 4), (1, 3, 2, 0), (2, 1, 2, 1), (5, 1, 7, 3)]) == [(0, 1, 1, 4), (2, 2, 2, 1), (5, 5, 7, 3)]
+    a, b = (b"".join(x.to_bytes(8) for x in xs) for xs in ([5, 6, 7], [5, 6, 8, 9]))
+    assert rlz.shared(a, b) == 2 and rlz.shared(a, a[:8]) == 1 and rlz.shared(a, b[8:]) == 0 and rlz.shared(a, a) == 3
+
+
+@pytest.mark.parametrize("partitions", [1, 7])
+def test_rlz_factors_equal_a_naive_greedy_parse(spark, partitions):
+    """Over every block that is parsed: same factors as trying all places of all other blocks; the named copy is one."""
+    rnd = random.Random(21)
+    base = [[rnd.randrange(1, 1 << 64) for _ in range(12)] for _ in range(6)]
+    blocks, parsed = [], []
+    for _ in range(150):
+        b = rnd.choice(base)
+        a = rnd.randint(0, 6)
+        row = b[a:rnd.randint(a + 1, 12)]
+        if rnd.random() < 0.5:
+            row[rnd.randrange(len(row))] = rnd.randrange(1, 1 << 64)
+        blocks.append(row)
+        parsed.append(rnd.random() < 0.9)
+
+    def best(n, i):
+        k = 0
+        for m, other in enumerate(blocks):
+            for j in range(len(other)) if m != n else ():
+                same = 0
+                while same < min(len(blocks[n]) - i, len(other) - j) and blocks[n][i + same] == other[j + same]:
+                    same += 1
+                k = max(k, same)
+        return k
+
+    want = set()
+    for n, row in enumerate(blocks):
+        i = 0
+        while i < len(row) and parsed[n]:
+            k = best(n, i)
+            if k:
+                want.add((n, i, i + k - 1))
+            i += max(k, 1)
+    frame = spark.createDataFrame([(n, p, bytearray(b"".join(x.to_bytes(8) for x in row))) for n, (p, row) in enumerate(zip(parsed, blocks, strict=True))],
+                                  "block long, parsed boolean, names binary")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    coalesce = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        got = rlz.factors(frame).collect()
+        assert rlz.factors(frame.where("false")).count() == 0
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", coalesce)
+    assert {(r.block, r.a, r.b) for r in got} == want and len(got) == len(want) > 150
+    for r in got:
+        n = r.b - r.a + 1
+        assert r.reference != r.block and blocks[r.block][r.a:r.b + 1] == blocks[r.reference][r.place:r.place + n]
 
 
 def test_decontamination(spark, docs, none):
