@@ -395,6 +395,35 @@ def test_decontamination_finds_substituted_words_in_short_items(spark):
     assert not {(k, n) for k, n in got if texts[k].count("sub") and n < 9}
 
 
+@pytest.mark.parametrize("n", range(5, 19))
+def test_a_seed_hits_every_placement_that_counts(n):
+    """All places of the most substitutions that still count, in items of up to 18 words; a longer item counts by a run of 18."""
+    need = max(min(13, -(-7 * n // 10)), min(8, n))
+    masks = [m for m in decontaminate.MASKS if m[-1] < n] + ([tuple(range(n))] if n < 7 else [])
+    shapes = [sum(1 << k + p for p in m) for m in masks for k in range(n - m[-1])]
+    places = [sum(1 << k for k in c) for c in itertools.combinations(range(n), n - need)]
+    assert places and all(any(not gone & shape for shape in shapes) for gone in places)
+    assert need * 10 // 7 >= n or n < 9
+
+
+def test_decontamination_misses_no_alignment_that_counts(spark):
+    """Items of 5 to 30 words with as many substitutions as count, and one more, among words that repeat."""
+    rnd = random.Random(31)
+    items = [[f"q{rnd.randrange(60)}" for _ in range(n)] for n in range(5, 31)]
+    texts = []
+    for item in items:
+        for _ in range(12):
+            start = rnd.randrange(max(1, len(item) - 17))
+            part = item[start:start + 18]
+            need = max(min(13, -(-7 * len(item) // 10)), min(8, len(item)))
+            at = rnd.sample(range(len(part)), max(0, min(len(part) - need + rnd.randint(-1, 1), len(part))))
+            texts.append([*(f"q{rnd.randrange(60)}" for _ in range(6)), *("sub" if k in at else w for k, w in enumerate(part)), *(f"n{k}" for k in range(rnd.randint(0, 9)))])
+    frame = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    bench = spark.createDataFrame([(len(i), " ".join(i)) for i in items], "item_id long, text string")
+    want = {(k, len(i)) for k, t in enumerate(texts) for i in items if leaks(t, i)}
+    assert {(r.doc_id, r.item_id) for r in decontaminate.overlaps(frame, bench).collect()} == want and len(want) > 150
+
+
 def test_clean_keeps_the_clean_rows_without_id(spark):
     passage = " ".join(f"q{k}" for k in range(20))
     texts = [(None, f"a b {passage}"), (None, "clean one"), (None, None), (None, "clean one"), (None, passage.upper()), (3, "clean two"), (4, passage), (5, "clean three")]
