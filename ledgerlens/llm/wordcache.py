@@ -23,6 +23,11 @@ ENTRY_BYTES, LONG_WORD = 220, 64
 PLAIN = re.compile("[!-~À-ÖØ-öø-ÿ]+")
 PIECES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+")
 
+# The normaliser and splitter of the vocabulary files that can be used word by word like this.
+NORMALIZERS = [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]
+SPLIT = {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True}
+BYTES = {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}
+
 
 def byte_letters() -> list[str]:
     """The printable character that stands for each byte in byte-level vocabularies:
@@ -73,6 +78,16 @@ def of_worker(operator: str, key, make: Callable):
     return _KEPT[operator, key]
 
 
+def supported(spec: dict, path: str) -> dict:
+    """The vocabulary file's content; raises where it splits texts otherwise than word by word."""
+    pre, norm = spec.get("pre_tokenizer") or {}, spec.get("normalizer") or {}
+    if norm.get("normalizers") != NORMALIZERS or pre.get("pretokenizers") != [SPLIT, BYTES]:
+        raise ValueError(f"{path}: its normalizer or pre_tokenizer is not the one that the token operators apply word by word")
+    if (model := spec["model"])["type"] != "BPE" or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges"):
+        raise ValueError(f"{path}: not a plain byte-pair model")
+    return spec
+
+
 class Vocabulary:
     """The parts of a vocabulary file: pre-tokens as bytes, special strings, the model."""
 
@@ -81,7 +96,7 @@ class Vocabulary:
         from tokenizers import Tokenizer
 
         with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
+            self.spec = supported(json.load(f), path)
         self.library = Tokenizer.from_file(path)
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         self.at_special = re.compile("(" + ("|".join(map(re.escape, sorted(self.special, key=len, reverse=True))) or "(?!)") + ")")

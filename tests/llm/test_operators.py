@@ -598,3 +598,11 @@ def test_mixture_with_clashing_columns(spark, tmp_path):
     want = Counter((r.doc_id, r.text) for r in corpus_pipeline.mixture(spark, plain, "").collect())
     got = corpus_pipeline.mixture(spark, clash, "")
     assert got.columns == clash.columns and Counter((r.doc_id, r.text) for r in got.collect()) == want and len(want) > 20
+
+
+def test_vocabulary_with_another_splitter_is_refused():
+    from ledgerlens.llm import wordcache
+
+    assert wordcache.Vocabulary(VOCABULARY).pieces(b"it's") == [b"it", b"'s"]
+    with pytest.raises(ValueError, match="pre_tokenizer"):
+        wordcache.Vocabulary(public_tokenizers.path("byte_bpe_50k.json"))
