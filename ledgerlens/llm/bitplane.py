@@ -1,7 +1,7 @@
 """Token-ID output: bit-plane shuffled shards (operator 2).
 
 Documents are range-partitioned by id, each range is tokenised and written as one
-binary shard, and the shards in order are the token stream. A shard holds fixed-size
+binary shard or, where it is long, as several, and the shards in order are the token stream. A shard holds fixed-size
 blocks of ids; a block is transposed into byte planes (plane *p* = byte *p* of every
 id) or bit planes (plane *b* = bit *b* of every id, packed), and every plane is
 compressed on its own with zstandard: the high planes of ids below 2^16 are nearly
@@ -24,12 +24,16 @@ an empty table gives no shard and no row; other columns are not read.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
@@ -37,17 +41,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerlens.llm.common import shuffle_partitions, for_python, stored, text_or_empty
-from ledgerlens.llm.wordcache import Vocabulary, WordCache, of_worker
+from ledgerlens.llm.wordcache import PLAIN, Vocabulary, WordCache, of_worker
 from ledgerlens.session import scratch_path
 
 MAGIC = b"LLPLANE1"
 BLOCK_IDS = 1 << 16
+SHARD_IDS = 1 << 26  # a shard that reached this many ids is closed and the next part of its range begins
+GROUP_BYTES = 1 << 21
+LINES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9\n]|[^a-zß-öø-ÿ0-9\n]+")  # PIECES, and line ends by themselves
+NO_ID = b"\xff" * 4  # never within ids below 2^24, at any offset
+GAP = re.compile(rb"[ \t-\r]")
 PLANES = {"byte": 4, "bit": 32}
 
 SHARDS = T.StructType([
-    T.StructField("shard", T.IntegerType()), T.StructField("path", T.StringType()),
+    T.StructField("shard", T.IntegerType()), T.StructField("part", T.IntegerType()), T.StructField("path", T.StringType()),
     T.StructField("n_docs", T.LongType()), T.StructField("n_ids", T.LongType()),
     T.StructField("n_blocks", T.IntegerType()), T.StructField("n_bytes", T.LongType())])
+SHARD_ROW = pa.schema([("shard", pa.int32()), ("part", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()),
+                       ("n_blocks", pa.int32()), ("n_bytes", pa.int64())])
 DOCS = T.StructType([
     T.StructField("doc_id", T.LongType()), T.StructField("start", T.LongType()),
     T.StructField("n_tokens", T.LongType()), T.StructField("ids_crc32", T.LongType())])
@@ -80,21 +91,61 @@ class WordIds:
 
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
-        self.pieces = WordCache(lambda pieces: [np.array(self.vocabulary.ids(p), "<u4").tobytes() for p in pieces])
+        self.pieces = WordCache(lambda pieces: [array("I", self.vocabulary.ids(p.encode())).tobytes() for p in pieces])
         self.words = WordCache(self._words)
 
     def _words(self, words: list[bytes]) -> list[bytes]:
-        split = [self.vocabulary.pieces(w) for w in words]
-        ids = self.pieces.values([[p for p in parts if isinstance(p, bytes)] for parts in split])
-        return [b"".join([ids(p) if isinstance(p, bytes) else struct.pack("<I", p) for p in parts]) for parts in split]
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        out: list[bytes] = []
-        for k in range(0, len(texts), 64):
-            words = [t.split() for t in texts[k:k + 64]]
-            ids = self.words.values(words)
-            out += [b"".join(map(ids, w)) for w in words]
-        return out
+        texts = [w.decode("utf-8", "replace") for w in words]
+        plain = [t for t in texts if PLAIN.fullmatch(t) and "<|" not in t]
+        pieces = LINES.findall("\n".join(plain).lower())
+        distinct = [*{*pieces}.difference("\n")]
+        ids = dict(zip(distinct, self.pieces.of(distinct), strict=True))
+        ids["\n"] = NO_ID
+        split = iter(b"".join(map(ids.__getitem__, pieces)).split(NO_ID))
+        return [next(split) if PLAIN.fullmatch(t) and "<|" not in t else self._word(w) for t, w in zip(texts, words, strict=True)]
+
+    def _word(self, word: bytes) -> bytes:
+        return b"".join(array("I", [p] if isinstance(p, int) else self.vocabulary.ids(p)).tobytes() for p in self.vocabulary.pieces(word))
+
+    def encode(self, texts: list[bytes]) -> Iterator[bytes]:
+        """The ids of each text; words are looked up once per group of texts of about GROUP_BYTES."""
+        group, held = [], 0
+        for t in texts:
+            if held and held + len(t) > GROUP_BYTES:
+                yield from self._group(group)
+                group, held = [], 0
+            if len(t) > GROUP_BYTES:
+                yield b"".join(ids for part in parts_of(t) for ids in self._group([part]))
+            else:
+                group.append(t)
+                held += len(t)
+        yield from self._group(group)
+
+    def _group(self, texts: list[bytes]) -> list[bytes]:
+        # Split and coded by Arrow byte by byte; only distinct words become Python objects.
+        words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
+        coded = words.values.dictionary_encode()
+        distinct = coded.dictionary.view(pa.binary()).to_pylist()
+        found = self.words.of(distinct)
+        flat = np.frombuffer(b"".join(found), "<u4")
+        lens = np.fromiter(map(len, found), np.int64, len(found)) >> 2
+        word = coded.indices.to_numpy()
+        n = lens[word]
+        ends = np.cumsum(n)
+        places = np.repeat((np.cumsum(lens) - lens)[word] - ends + n, n) + np.arange(n.sum())
+        stream = flat[places].tobytes()
+        cuts = (4 * np.concatenate([[0], ends])[words.offsets.to_numpy()]).tolist()
+        return [stream[at:to] for at, to in pairwise(cuts)]
+
+
+def parts_of(text: bytes) -> Iterator[bytes]:
+    """A long text cut at white space into parts of GROUP_BYTES or a little more, none within a word."""
+    at = 0
+    while at < len(text):
+        gap = GAP.search(text, at + GROUP_BYTES)
+        end = gap.end() if gap else len(text)
+        yield text[at:end]
+        at = end
 
 
 def encoder(path: str) -> WordIds:
@@ -117,12 +168,12 @@ class ShardWriter:
         self.held: list[bytes] = []
         self.held_bytes = self.n_ids = 0
         self.blocks: list[list] = []
-        self.doc_ids: list[int | None] = []
-        self.lens: list[int] = []
+        self.doc_ids, self.known, self.lens = array("q"), bytearray(), array("q")
         out.write(MAGIC)
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
-        self.doc_ids.append(doc_id)
+        self.doc_ids.append(doc_id or 0)
+        self.known.append(doc_id is not None)
         self.lens.append(len(ids) // 4)
         self.held.append(ids)
         self.held_bytes += len(ids)
@@ -144,9 +195,8 @@ class ShardWriter:
 
     def close(self) -> int:
         self._flush(True)
-        known = np.array([d is not None for d in self.doc_ids], np.uint8)
         parts = [json.dumps({"planes": self.kind, "block_ids": BLOCK_IDS, "n_docs": len(self.lens), "blocks": self.blocks}).encode(),
-                 np.array([d or 0 for d in self.doc_ids], "<i8").tobytes(), known.tobytes(), np.array(self.lens, "<i8").tobytes()]
+                 np.array(self.doc_ids, "<i8").tobytes(), bytes(self.known), np.array(self.lens, "<i8").tobytes()]
         foot = struct.pack("<4Q", *(len(p) for p in parts)) + self.zip.compress(b"".join(parts))
         self.out.write(foot + struct.pack("<Q", len(foot)) + MAGIC)
         return self.at + len(foot) + 16
@@ -178,9 +228,11 @@ def read_blocks(f, head: dict, first: int = 0) -> Iterator[np.ndarray]:
 
 
 # -- jobs --------------------------------------------------------------------------------
-def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int | None = 1, planes: str = "byte") -> DataFrame:
+def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int | None = 1, planes: str = "byte",
+                 shard_ids: int = SHARD_IDS) -> DataFrame:
     """Tokenise and write every document, ascending doc_id; returns the shard table
-    (shard number ascending = document order, one row per non-empty shard)."""
+    (range and part ascending = document order, one row per shard). A range's next part begins
+    when a shard has ``shard_ids`` ids, so what a task holds of a shard is bounded but for one document."""
     spark = docs.sparkSession
     for_python(spark)
     end = b"" if end_id is None else struct.pack("<I", end_id)
@@ -190,24 +242,30 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int | None
 
     def write(batches):
         store, base = _store(root)
-        shard = TaskContext.get().partitionId()
-        name = f"{base}/shard-{shard:06d}.ids"
-        mine = f"{base}/_attempt-{shard:06d}-{TaskContext.get().taskAttemptId()}"
+        shard, attempt, part = TaskContext.get().partitionId(), TaskContext.get().taskAttemptId(), 0
+        mine = f"{base}/_attempt-{shard:06d}-{attempt}"
         out = w = None
+
+        def close() -> pa.RecordBatch:
+            name = f"{base}/shard-{shard:06d}-{part:04d}.ids"
+            n = w.close()
+            out.close()
+            store.move(mine, name)
+            row = {"shard": shard, "part": part, "path": name, "n_docs": len(w.lens), "n_ids": w.n_ids, "n_blocks": len(w.blocks), "n_bytes": n}
+            return pa.RecordBatch.from_pylist([row], schema=SHARD_ROW)
+
         for b in batches:
-            if w is None and b.num_rows:
-                store.create_dir(base, recursive=True)
-                out = store.open_output_stream(mine)
-                w = ShardWriter(out, planes)
             for d, ids in zip(b.column(0).to_pylist(), encoder(tokenizer).encode(b.column(1).to_pylist()), strict=True):
+                if w is None:
+                    store.create_dir(base, recursive=True)
+                    out = store.open_output_stream(mine)
+                    w = ShardWriter(out, planes)
                 w.add(d, ids + end)
+                if w.n_ids >= shard_ids:
+                    yield close()
+                    w, part = None, part + 1
         if w is not None:
-            n = w.close()
-            out.close()
-            store.move(mine, name)
-            yield pa.RecordBatch.from_pylist([{
-                "shard": shard, "path": name, "n_docs": len(w.lens), "n_ids": w.n_ids, "n_blocks": len(w.blocks), "n_bytes": n}],
-                schema=pa.schema([("shard", pa.int32()), ("path", pa.string()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("n_blocks", pa.int32()), ("n_bytes", pa.int64())]))
+            yield close()
 
     return stored(src.repartitionByRange(parts, "doc_id", "h").sortWithinPartitions("doc_id", "h").select("doc_id", "t")
                   .mapInArrow(write, SHARDS), "bitplane-shards")
@@ -216,12 +274,12 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int | None
 def read_shards(shards: DataFrame, root: str) -> DataFrame:
     """Decode every shard: doc_id, start (ids of all documents before it), n_tokens, ids_crc32.
 
-    The driver adds up one row per shard (as many as shuffle partitions) to get each
-    shard's first position; the ids themselves are read by tasks, block by block.
+    The driver adds up one row per shard (one per shuffle partition, or per ``SHARD_IDS`` ids) to get
+    each shard's first position; the ids themselves are read by tasks, block by block.
     """
     spark = shards.sparkSession
     base, rows = 0, []
-    for r in shards.orderBy("shard").select("path", "n_ids").toLocalIterator():
+    for r in shards.orderBy("shard", "part").select("path", "n_ids").toLocalIterator():
         rows.append((r.path, base))
         base += r.n_ids
     out = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("n_tokens", pa.int64()), ("ids_crc32", pa.int64())])

@@ -63,6 +63,21 @@ class WordCache:
         self.held += ENTRY_BYTES * (len(known) + len(new))
         return self.young.__getitem__
 
+    def of(self, words: list) -> list:
+        """The values of distinct words, in order, by one walk of the cache."""
+        if self.held > self.most:
+            self.young, self.old, self.held = {}, self.young, 0
+        found = list(map(self.young.get, words))
+        new = [k for k, v in enumerate(found) if v is None]
+        for k in new:
+            found[k] = self.old.get(words[k])
+        unknown = [k for k in new if found[k] is None]
+        for k, v in zip(unknown, self.fill([words[k] for k in unknown]), strict=True):
+            found[k] = v
+        self.young.update((words[k], found[k]) for k in new if len(words[k]) <= LONG_WORD)
+        self.held += ENTRY_BYTES * len(new)
+        return found
+
 
 _KEPT: dict = {}
 
