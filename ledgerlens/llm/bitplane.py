@@ -48,6 +48,7 @@ MAGIC = b"LLPLANE1"
 BLOCK_IDS = 1 << 16
 SHARD_IDS = 1 << 26  # a shard that reached this many ids is closed and the next part of its range begins
 GROUP_BYTES = 1 << 21
+WORD_BYTES = 160 << 20  # of one generation of a worker's cache of words
 LINES = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9\n]|[^a-zß-öø-ÿ0-9\n]+")  # PIECES, and line ends by themselves
 NO_ID = b"\xff" * 4  # never within ids below 2^24, at any offset
 GAP = re.compile(rb"[ \t-\r]")
@@ -92,7 +93,7 @@ class WordIds:
     def __init__(self, path: str):
         self.vocabulary = Vocabulary(path)
         self.pieces = WordCache(lambda pieces: [array("I", self.vocabulary.ids(p.encode())).tobytes() for p in pieces])
-        self.words = WordCache(self._words)
+        self.words = WordCache(self._words, WORD_BYTES)
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
