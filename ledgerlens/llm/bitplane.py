@@ -29,7 +29,7 @@ import struct
 import zlib
 from array import array
 from collections.abc import Iterator
-from itertools import pairwise
+from itertools import compress, pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -97,13 +97,13 @@ class WordIds:
 
     def _words(self, words: list[bytes]) -> list[bytes]:
         texts = [w.decode("utf-8", "replace") for w in words]
-        plain = [t for t in texts if PLAIN.fullmatch(t) and "<|" not in t]
-        pieces = LINES.findall("\n".join(plain).lower())
+        plain = [PLAIN.fullmatch(t) and "<|" not in t for t in texts]
+        pieces = LINES.findall("\n".join(compress(texts, plain)).lower())
         distinct = [*{*pieces}.difference("\n")]
         ids = dict(zip(distinct, self.pieces.of(distinct), strict=True))
         ids["\n"] = NO_ID
         split = iter(b"".join(map(ids.__getitem__, pieces)).split(NO_ID))
-        return [next(split) if PLAIN.fullmatch(t) and "<|" not in t else self._word(w) for t, w in zip(texts, words, strict=True)]
+        return [next(split) if p else self._word(w) for p, w in zip(plain, words, strict=True)]
 
     def _word(self, word: bytes) -> bytes:
         return b"".join(array("I", [p] if isinstance(p, int) else self.vocabulary.ids(p)).tobytes() for p in self.vocabulary.pieces(word))
@@ -126,7 +126,7 @@ class WordIds:
         # Split and coded by Arrow byte by byte; only distinct words become Python objects.
         words = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).view(pa.string()))
         coded = words.values.dictionary_encode()
-        distinct = coded.dictionary.view(pa.binary()).to_pylist()
+        distinct = strings(coded.dictionary)
         found = self.words.of(distinct)
         flat = np.frombuffer(b"".join(found), "<u4")
         lens = np.fromiter(map(len, found), np.int64, len(found)) >> 2
@@ -139,6 +139,16 @@ class WordIds:
         return [stream[at:to] for at, to in pairwise(cuts)]
 
 
+def strings(a: pa.StringArray) -> list[bytes]:
+    """The bytes of each string, cut from the array's buffers (``to_pylist`` makes a scalar of each)."""
+    if not len(a):
+        return []
+    _, offsets, data = a.buffers()
+    raw = data.to_pybytes() if data else b""
+    ends = np.frombuffer(offsets, np.int32)[a.offset:a.offset + len(a) + 1].tolist()
+    return [raw[at:to] for at, to in pairwise(ends)]
+
+
 def parts_of(text: bytes) -> Iterator[bytes]:
     """A long text cut at white space into parts of GROUP_BYTES or a little more, none within a word."""
     at = 0
