@@ -112,7 +112,7 @@ class WordIds:
         """The ids of each text; words are looked up once per group of texts of about GROUP_BYTES."""
         group, held = [], 0
         for t in texts:
-            if held and held + len(t) > GROUP_BYTES:
+            if group and held + len(t) > GROUP_BYTES:
                 yield from self._group(group)
                 group, held = [], 0
             if len(t) > GROUP_BYTES:
@@ -272,7 +272,7 @@ def write_shards(docs: DataFrame, root: str, tokenizer: str, end_id: int | None
                     out = store.open_output_stream(mine)
                     w = ShardWriter(out, planes)
                 w.add(d, ids + end)
-                if w.n_ids >= shard_ids:
+                if w.n_ids + w.held_bytes // 4 >= shard_ids:
                     yield close()
                     w, part = None, part + 1
         if w is not None:
