@@ -99,3 +99,26 @@ def test_joins_of_relations_need_no_shuffle(docs, spark):
         assert "SortMergeJoin" in plan and "Exchange" not in plan and "Sort [" not in plan
         assert joined.count() > 0
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("occurrences_")]
+
+
+def test_splitting_runs_in_generated_code(docs, spark):
+    """The steps that see every word: a Generate outside generated code costs more than the split itself."""
+    texts = docs.select(F.col("doc_id").alias("piece"), collocations.language().alias("lang"), F.col("text").alias("t"))
+    before = spark.conf.get("spark.sql.adaptive.enabled")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")  # adaptive plans do not show what is generated
+    try:
+        for rows in (collocations.placed(texts), collocations.word_counts(texts)):
+            plan = rows._jdf.queryExecution().executedPlan().toString()
+            generate = [line for line in plan.splitlines() if "Generate" in line]
+            assert generate and all("*(" in line for line in generate) and "lambda" not in plan
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", before)
+
+
+def test_pieces_and_case(spark):
+    """Piece ends without spaces, in runs and at both ends; letters outside A-Z that ``lower`` would map, some to ASCII."""
+    rows = [("en", t) for t in ("A b.C  d", ".;a B,,c\td!", "a\nb c", "\u212aa \u0130b", "ka \u0131b \u212aA", "KA ib", "\x0bA b\x0c\x0d c D", "\u00c4A B", "\u00e4a b", "x", ". , .", " ")] * 2
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    want = brute(rows, 2)
+    assert Counter(map(tuple, collocations.collocations(docs, least=2).collect())) == want
+    assert {r[2] for r in want} >= {"a b", "c d", "\u212aa \u0130b", "ka ib", "\u00c4a b", "\u00e4a b"}
